@@ -5,16 +5,22 @@ from __future__ import annotations
 from quillmill import shipped
 from quillmill.llm.bpe import op7_bpe
 from quillmill.llm.mixing import op1_mix
+from quillmill.llm.language import op4_language
+from quillmill.llm.neighbours import OP10_SQL, op10_neighbours
 from quillmill.llm.tiff import op8_tiff
 from quillmill.llm.token_codes import op3_token_codes
+from quillmill.llm.toxicity import op2_toxicity
 
 QUERIES = {
     "op1_mix": op1_mix,
+    "op2_toxicity": op2_toxicity,
     "op3_token_codes": op3_token_codes,
+    "op4_language": op4_language,
     "op7_bpe": op7_bpe,
     "op8_tiff": op8_tiff,
+    "op10_neighbours": op10_neighbours,
 }
 
 QUERIES = {n: shipped(f) for n, f in QUERIES.items()}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_neighbours": OP10_SQL}

@@ -18,17 +18,20 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark import TaskContext
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillmill.llm.common import Bounded, documents, materialize, per_text, slices
+from quillmill.llm.common import documents, materialize, slices
 
 CHUNK, BLOCK, SEGMENT, END = 8, 512, 1 << 20, 2
+#: Ranges of doc_id that are sorted apart.
+MAX_PARTITIONS = 10_000
 _MAGIC = b"DACS"
 
 
@@ -109,63 +112,144 @@ class Codes:
         return out
 
 
-_ODD = ("\x1c", "\x1d", "\x1e", "\x1f")  # white space to Python's split, but not to the tokenizer
+#: Bounds of each Python worker's caches: parts of texts between white space, and runs of letters or others in them.
+MAX_PARTS, MAX_RUNS = 1_000_000, 600_000
 
 
-def encoder(path: str):
-    """text -> ids as the library's ``encode(text, add_special_tokens=False)`` gives them.
+class Encoder:
+    """texts -> ids as the library's ``encode(text, add_special_tokens=False)`` gives them.
 
-    The tokenizer drops white space before it forms pieces, so a text's ids are those of its white-space-separated
-    parts one after another; parts recur, and each task keeps the ids of those it has met in a bounded cache.
+    The tokenizer drops white space before it forms pieces, so a text's ids are those of the parts between its
+    ASCII white space, one after another. It puts case away and never joins letters with other characters but in
+    contractions, so a part in normal form is in turn its runs of letters and of others. Texts are cut and their
+    distinct parts found by Arrow kernels; a worker keeps the ids of parts and runs it has met. New runs of letters
+    go to the library together, and are told apart by word ends.
     """
-    from tokenizers import Tokenizer
 
-    tok = Tokenizer.from_file(path)
-    encode = lambda t: np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
-    cache = Bounded(encode)
-
-    def ids(text: str) -> np.ndarray:
-        data = encode(text) if any(c in text for c in _ODD) else b"".join(map(cache.__getitem__, text.split()))
-        return np.frombuffer(data, "<u4")
-
-    return ids
+    def __init__(self, path: str) -> None:
+        import regex
+        from tokenizers import Tokenizer
+
+        self.tok = Tokenizer.from_file(path)
+        self.ends = np.zeros(self.tok.get_vocab_size(), bool)
+        for word, i in self.tok.get_vocab().items():
+            self.ends[i] = word.endswith("</w>")
+        self.parts: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {}
+        self.split = regex.compile(r"\p{L}+|\P{L}+").findall
+        self.letters = regex.compile(r"\p{L}+").fullmatch
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _learn(self, parts: set[str]) -> None:
+        if len(self.parts) + len(parts) > MAX_PARTS:
+            self.parts.clear()
+        plain, new = {}, set()
+        for p in parts:
+            if "'" in p or "<|" in p or not is_normalized("NFC", p):
+                self.parts[p] = self.whole(p)
+            else:
+                plain[p] = runs = self.split(p)
+                new.update(runs)
+        new.difference_update(self.runs)
+        if len(self.runs) + len(new) > MAX_RUNS:
+            self.runs.clear()
+            new = {r for runs in plain.values() for r in runs}
+        words = [r for r in new if self.letters(r)]
+        for i in range(0, len(words), 2000):
+            some = words[i : i + 2000]
+            ids = np.array(self.tok.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            cut = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            if len(cut) == len(some):
+                data, a = ids.tobytes(), 0
+                for r, z in zip(some, cut.tolist(), strict=True):
+                    self.runs[r] = data[a:z]
+                    a = z
+            else:  # a word's normal form holds more than letters
+                self.runs.update((r, self.whole(r)) for r in some)
+        self.runs.update((r, self.whole(r)) for r in new if r not in self.runs)
+        for p, runs in plain.items():
+            self.parts[p] = self.runs[runs[0]] if len(runs) == 1 else b"".join([self.runs[r] for r in runs])
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and where each text's begin and end in them (null: empty)."""
+        texts = pc.fill_null(texts, "")
+        # upper case matters only in the names of special tokens
+        texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        cut = pc.ascii_split_whitespace(texts)
+        words = cut.flatten().dictionary_encode()
+        of, distinct = words.indices.to_numpy(), words.dictionary.to_pylist()
+        if new := {p for p in distinct if p not in self.parts}:
+            self._learn(new)
+        if new and any(p not in self.parts for p in distinct):  # the cache was emptied to hold the new
+            self._learn({p for p in distinct if p not in self.parts})
+        data = [self.parts[p] for p in distinct]
+        ids = np.frombuffer(b"".join(data), "<u4")
+        size = np.fromiter(map(len, data), np.int64, len(data)) >> 2
+        start = np.cumsum(size) - size
+        n = size[of]
+        ends = np.r_[0, np.cumsum(n)]
+        out = ids[np.repeat(start[of] - ends[:-1], n) + np.arange(ends[-1])]
+        return out, ends[cut.offsets.to_numpy() - cut.offsets[0].as_py()]
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The worker's encoder for this file; it outlives a task."""
+    if path not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 def tokenize(docs: DataFrame, path: str, end: int | None = END) -> DataFrame:
     """``doc_id, n, codes``: each document's ids, with ``end`` appended, as a segment of its own."""
+    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
-    def make():
-        ids = encoder(path)
-
-        def one(text: str):
-            a = ids(text)
-            a = a if end is None else np.append(a, np.uint32(end))
-            return len(a), encode_ids(a)
-
-        return one
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        encode = encoder(path)
+        for b in slices(batches, 4096):
+            ids, at = encode(b.column(1))
+            codes = []
+            for a, z in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+                own = ids[a:z]
+                codes.append(encode_ids(own if end is None else np.append(own, np.uint32(end))))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(at) + (end is not None), pa.int64()), pa.array(codes, pa.binary())], names=["doc_id", "n", "codes"])
 
-    return per_text(docs, [F.col("doc_id")], make, [("n", pa.int64()), ("codes", pa.binary())], "n long, codes binary")
+    return src.mapInArrow(run, "doc_id long, n long, codes binary")
 
 
-_SEGMENTS = "part int, seq int, n long, doc_ids array<long>, starts array<long>, codes binary"
+_SEGMENTS = "part int, seq int, place long, n long, doc_ids array<long>, starts array<long>, codes binary"
 
 
 def write_tokens(docs: DataFrame, path: str, end: int | None = END, segment: int = SEGMENT) -> DataFrame:
     """Write all documents' ids in ascending doc_id order; gives the table of segments, read back from the shared folder."""
-    one = materialize(tokenize(docs, path, end), "tokens")
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = one.withColumn("h", F.xxhash64("codes")).repartitionByRange(parts, "doc_id", "h").sortWithinPartitions("doc_id", "h")
+    spark = docs.sparkSession
+    parts = min(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_PARTITIONS)
+    # ranges come from the ids alone: sampling the tokenized rows would tokenize them twice
+    cuts = docs.agg(F.percentile_approx(F.col("doc_id").cast("long"), [i / parts for i in range(1, parts)], 10000)).first()[0] if parts > 1 else None
+    cuts = sorted(set(cuts or ()))
+    part = F.coalesce(F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col("doc_id"))), F.lit(0)) if cuts else F.lit(0)
+    coded = tokenize(docs, path, end).withColumn("part", F.when(F.col("doc_id").isNull(), 0).otherwise(part).cast("int")).withColumn("h", F.xxhash64("codes"))
+    ranged = coded.repartition(parts, "part").sortWithinPartitions("part", "doc_id", "h")
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        part, seq, ids, starts, held, n = TaskContext.get().partitionId(), 0, [], [], [], 0
+        part, seq, place, ids, starts, held, n = None, 0, 0, [], [], [], 0
 
         def out():
             codes = encode_ids(np.concatenate(held))
-            cols = [([part], pa.int32()), ([seq], pa.int32()), ([n], pa.int64()), ([ids], pa.list_(pa.int64())), ([starts], pa.list_(pa.int64())), ([codes], pa.binary())]
-            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in cols], names=["part", "seq", "n", "doc_ids", "starts", "codes"])
+            cols = [([part], pa.int32()), ([seq], pa.int32()), ([place], pa.int64()), ([n], pa.int64()), ([ids], pa.list_(pa.int64())), ([starts], pa.list_(pa.int64())), ([codes], pa.binary())]
+            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in cols], names=["part", "seq", "place", "n", "doc_ids", "starts", "codes"])
 
         for b in slices(batches, 64):
-            for d, c in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for d, c, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                if p != part:
+                    if ids:
+                        yield out()
+                    part, seq, place, ids, starts, held, n = p, 0, 0, [], [], [], 0
                 codes = Codes(c)
                 ids.append(d)
                 starts.append(n)
@@ -173,22 +257,19 @@ def write_tokens(docs: DataFrame, path: str, end: int | None = END, segment: int
                 n += len(codes)
                 if n >= segment:
                     yield out()
-                    seq, ids, starts, held, n = seq + 1, [], [], [], 0
+                    seq, place, ids, starts, held, n = seq + 1, place + n, [], [], [], 0
         if ids:
             yield out()
 
-    return materialize(ranged.select("doc_id", "codes").mapInArrow(run, _SEGMENTS), "segments")
+    return materialize(ranged.select("doc_id", "codes", "part").mapInArrow(run, _SEGMENTS), "segments")
 
 
 def read_tokens(segments: DataFrame) -> DataFrame:
     """From the written segments: ``doc_id, start, n_tokens, ids_crc32``, ``start`` counting all ids before the document."""
-    # parts are few (one a partition) whatever the data; places inside a part come from its own segments
-    heads = segments.select("part", "seq", "n")
-    inside = heads.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    sums = heads.groupBy("part").agg(F.sum("n").alias("n"))
+    # a segment knows its place in its part; parts are few whatever the data (at most MAX_PARTITIONS)
+    sums = segments.groupBy("part").agg(F.sum("n").alias("n"))
     base = sums.withColumn("base", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("part", "base")
-    place = inside.join(F.broadcast(base), "part").select("part", "seq", (F.col("base") + F.col("before")).alias("place"))
-    rows = segments.join(place, ["part", "seq"]).select("place", "n", "doc_ids", "starts", "codes")
+    rows = segments.join(F.broadcast(base), "part").select((F.col("base") + F.col("place")).alias("place"), "n", "doc_ids", "starts", "codes")
 
     def run(batches):
         for b in slices(batches, 1):
