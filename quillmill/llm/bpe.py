@@ -111,15 +111,18 @@ def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN)
                     flat.append(got)
                     size += len(got)
                 counts.append(size >> 2)
-            words = list(index)
+            # a block's words by frequency, so that most places are small numbers
+            place = np.frombuffer(b"".join(flat), "<u4")
+            often = np.argsort(-np.bincount(place, minlength=len(index)), kind="stable")
+            words = [*index]
+            words = [words[i] for i in often.tolist()]
+            rank = np.empty(len(words), "<u4")
+            rank[often] = np.arange(len(words), dtype="<u4")
             bucket = np.array([zlib.crc32(w) for w in words], np.int64) % n
             order = np.argsort(bucket, kind="stable")
-            rank = np.empty(len(words), "<u4")
-            rank[order] = np.arange(len(words), dtype="<u4")
-            place = rank[np.frombuffer(b"".join(flat), "<u4")] if words else np.empty(0, "<u4")
-            wide = np.ascontiguousarray(place).view(np.uint8).reshape(-1, 4).T.tobytes()  # planes of equal bytes squeeze well
+            wide = np.ascontiguousarray(rank[place]).view(np.uint8).reshape(-1, 4).T.tobytes()  # planes of equal bytes squeeze well
             held = [i is None for i in ids]
-            head = [np.array([i or 0 for i in ids], "<i8").tobytes(), np.array(held, np.uint8).tobytes(), np.array(counts, "<u4").tobytes(), wide]
+            head = [np.array([i or 0 for i in ids], "<i8").tobytes(), np.array(held, np.uint8).tobytes(), np.array(counts, "<u4").tobytes(), wide, bucket.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()]
             cut = np.flatnonzero(np.r_[True, bucket[order][1:] != bucket[order][:-1]]) if words else np.empty(0, int)
             asks = []
             for a, z in zip(cut.tolist(), [*cut[1:].tolist(), len(words)], strict=True) if len(cut) else ():
@@ -155,8 +158,11 @@ def _unpack(payload: bytes, found: dict[int, bytes]):
     """Of a block: ids of documents, and each document's token ids."""
     head = unpack_strings(expand(payload))
     ids, null, counts = np.frombuffer(head[0], "<i8"), np.frombuffer(head[1], np.uint8), np.frombuffer(head[2], "<u4")
-    place = np.frombuffer(head[3], np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
-    words = [w for b in sorted(found) for w in unpack_strings(expand(found[b]))]
+    place, bucket = (np.frombuffer(h, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel() for h in head[3:])
+    words = [b""] * len(bucket)
+    at = {b: unpack_strings(expand(v)) for b, v in found.items()}
+    for i, w in zip(np.argsort(bucket, kind="stable").tolist(), (w for b in sorted(at) for w in at[b]), strict=True):
+        words[i] = w
     at = 0
     for i, x, c in zip(ids.tolist(), null.tolist(), counts.tolist(), strict=True):
         yield (None if x else i), np.frombuffer(b"".join([words[k] for k in place[at : at + c].tolist()]), "<u4")

@@ -28,7 +28,7 @@ _ANSWER = "block long, bucket int, answer binary"
 
 
 def squeeze(data: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(data)
+    return zstandard.ZstdCompressor(level=3).compress(data)
 
 
 def expand(data: bytes) -> bytes:
