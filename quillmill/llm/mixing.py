@@ -139,5 +139,13 @@ def mix_sizes(sized: DataFrame, weights: tuple[float, ...] = (5, 2, 1), volume:
     return done.unionByName(none).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def mixed(docs: DataFrame, **how) -> DataFrame:
+    """The mix as documents: each row of ``docs`` as often as the mix takes its words, to the nearest whole time."""
+    taken = mix(docs, **how).groupBy("doc_id").agg(F.sum("taken").alias("__taken"), F.sum("size").alias("__size"))
+    times = F.round(F.col("__taken") / F.greatest(F.col("__size"), F.lit(1))).cast("int")
+    plan = taken.select(F.col("doc_id").alias("__id"), times.alias("__times")).where("__times > 0")
+    return docs.join(plan, docs["doc_id"].eqNullSafe(plan["__id"])).withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*docs.columns)
+
+
 def op1_mix(spark, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir))

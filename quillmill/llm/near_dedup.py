@@ -110,7 +110,7 @@ _SETS = "doc_id long, row long, n_shingles long, node binary, bands array<long>,
 
 def sets_of(docs: DataFrame) -> DataFrame:
     """A row per document: its row key, set size, digest of the set, band keys and sketch."""
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _row(F.col("doc_id"), F.col("text")).alias("row"), "text")
+    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _row(F.col("doc_id").cast("long"), F.col("text")).alias("row"), "text")
 
     def run(batches):
         for b in slices(batches, 2048):
@@ -149,7 +149,7 @@ def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     hubs = sizes.select(F.col("u").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("u").alias("node"))
     roles = materialize(legs.unionByName(hubs), "roles")
     need = roles.select("node").distinct().join(classes.select("node", "row"), "node")
-    texts = docs.select(_row(F.col("doc_id"), F.col("text")).alias("row"), "text").join(need, "row").dropDuplicates(["node"]).select("node", "text")
+    texts = docs.select(_row(F.col("doc_id").cast("long"), F.col("text")).alias("row"), "text").join(need, "row").dropDuplicates(["node"]).select("node", "text")
     stars = roles.join(texts, "node").withColumn("leg", F.col("hub") != F.col("node"))
     # a part of a star is at most _STAR texts, hub first
     dealt = stars.repartition(F.col("hub"), F.col("part")).sortWithinPartitions("hub", "part", "leg").select("hub", "part", "node", "text")
@@ -174,8 +174,8 @@ def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "u binary, v binary")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs`` (doc_id, text)."""
+def _clusters(docs: DataFrame) -> DataFrame:
+    """``doc_id, row, n_shingles, node, root, component_id`` for every row of ``docs`` (doc_id, text)."""
     sets = materialize(sets_of(docs), "sets")
     classes = sets.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.min("row").alias("row"), F.max("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("s1").alias("s1"), F.first("s2").alias("s2"))
     classes = materialize(classes, "classes")
@@ -200,10 +200,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             roots = connected_components(links.unionByName(more))
     named = classes.select("node", "least").join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     first = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    ids = named.join(first, "root").select("node", "component_id")
-    got = sets.select("doc_id", "n_shingles", "node").join(ids, "node", "left")
-    got = got.withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
-    return got.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    ids = named.join(first, "root").select("node", "root", "component_id")
+    got = sets.select("doc_id", "row", "n_shingles", "node").join(ids, "node", "left")
+    return got.withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs`` (doc_id, text)."""
+    return _clusters(docs).select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each component: of least doc_id (nulls last). Texts without words all stay, identical rows once."""
+    got = _clusters(docs)
+    best = got.where("node is not null").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("b"))
+    rows = best.select(F.col("b.row").alias("__row")).unionByName(got.where("node is null").select(F.col("row").alias("__row")))
+    keyed = docs.withColumn("__row", _row(F.col("doc_id").cast("long"), F.col("text")))
+    return keyed.join(rows, "__row", "left_semi").dropDuplicates(["__row"]).select(*docs.columns)
 
 
 def op9_near_dedup(spark, sf_dir: str) -> DataFrame:

@@ -197,6 +197,14 @@ def score(docs: DataFrame, classifier: Classifier) -> DataFrame:
     return per_text(docs, [F.col("doc_id")], lambda: held.value.scorer(), [("score", pa.float64()), ("predicted", pa.int32())], "score double, predicted int")
 
 
+def drop_toxic(docs: DataFrame, classifier: Classifier) -> DataFrame:
+    """``docs`` without the rows that are predicted toxic."""
+    held = docs.sparkSession.sparkContext.broadcast(classifier)
+    names = docs.columns
+    scored = per_text(docs, [F.col(c) for c in names], lambda: held.value.scorer(), [("__score", pa.float64()), ("__toxic", pa.int32())], "__score double, __toxic int")
+    return scored.where("__toxic = 0").select(*names)
+
+
 def op2_toxicity(spark, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     got = score(docs, fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
