@@ -140,12 +140,12 @@ def lzw_encode(data: bytes) -> bytes:
         if nxt == 4094:
             clear()
         else:
-            width = 9 if nxt < 511 else 10 if nxt < 1023 else 11 if nxt < 2047 else 12
+            width = 9 if nxt < 512 else 10 if nxt < 1024 else 11 if nxt < 2048 else 12
         word = data[i : i + 1]
     if word:
         put(table[word])
         nxt += 1
-        width = 9 if nxt < 511 else 10 if nxt < 1023 else 11 if nxt < 2047 else 12
+        width = 9 if nxt < 512 else 10 if nxt < 1024 else 11 if nxt < 2048 else 12
     put(257)
     if have:
         out.append(bits << (8 - have) & 255)
