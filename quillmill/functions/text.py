@@ -142,6 +142,15 @@ def fold(c: Column) -> Column:
     return F.when(c.rlike(r"^\p{ASCII}*$"), c).otherwise(_fold_batch(F.when(~c.rlike(r"^\p{ASCII}*$"), c)))
 
 
+# accented letters of Latin blocks and their base letters, by the rule of NFKD
+_ACCENTED = {ch: b for ch in map(chr, range(0xA0, 0x250)) if len(b := _fold(ch)) == 1}
+
+
+def fold_latin(c: Column) -> Column:
+    """As :func:`fold` for Latin text, without leaving the JVM: for lambdas, where Python functions can't go."""
+    return F.regexp_replace(F.translate(c, "".join(_ACCENTED), "".join(_ACCENTED.values())), r"[^\p{ASCII}]", "")
+
+
 def token(c: Column) -> Column:
     return F.regexp_replace(F.lower(fold(c)), "[^a-z0-9]+", "")
 
