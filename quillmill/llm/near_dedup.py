@@ -7,8 +7,11 @@
    class only, a star, never all with all; a 1-bit sketch of the signature and the sizes rule out pairs that
    can't reach the threshold.
 4. Pairs are confirmed on full sets, made anew from whole texts, star by star; a large star is cut in salted parts.
-5. Components of the confirmed links. Buckets that still hold classes of several components then give their
-   pairs across components, which are confirmed alike, so no link a bucket holds is lost to the star.
+5. Components of the confirmed links. In buckets that still hold classes of several components, the stars may have
+   missed links. There, in-task and in blocks of bounded size, classes are compared by sketch, and those that any
+   class of another component could match are gathered with their likes; such gatherings are then compared on full
+   sets, again in blocks, by matrix products over the shingles that two members share. Neither step emits pairs:
+   each block gives a forest of the links it found, at most one row a member, so no link is lost or multiplied.
 
 With 32 bands of 4 a pair at the threshold itself is missed with probability 5e-6; confirmed links are exact.
 
@@ -35,6 +38,8 @@ PERCENT = 75
 #: Sketch bits (of 128) that may differ: at the threshold 16 differ on average, with deviation 3.8; this is 5 deviations above.
 MAX_DIFFER = 35
 _STAR = 1024
+#: Members of a block that are compared in one task (each task holds two blocks at most).
+_BLOCK = 1024
 _MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
 
 
@@ -142,15 +147,102 @@ def _plausible(a: str, b: str) -> Column:
     return (small * 100 >= big * PERCENT) & (far <= MAX_DIFFER)
 
 
+def _texts(nodes: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``node, text``: one text of each class."""
+    need = nodes.join(classes.select("node", "row"), "node")
+    return docs.select(_row(F.col("doc_id").cast("long"), F.col("text")).alias("row"), "text").join(need, "row").dropDuplicates(["node"]).select("node", "text")
+
+
+class _Forest:
+    """Links that join what wasn't joined yet."""
+
+    def __init__(self, n: int) -> None:
+        self.up = list(range(n))
+        self.links: list[tuple[int, int]] = []
+
+    def find(self, i: int) -> int:
+        while self.up[i] != i:
+            self.up[i] = self.up[self.up[i]]
+            i = self.up[i]
+        return i
+
+    def add(self, pairs) -> None:
+        for i, j in pairs:
+            a, b = self.find(i), self.find(j)
+            if a != b:
+                self.up[b] = a
+                self.links.append((i, j))
+
+
+def _plausible_forest(t: pa.Table, side: np.ndarray) -> list[tuple[int, int]]:
+    """Of one block (or the meeting of two, told apart by ``side``): a forest of the pairs of different components that sketch and size allow."""
+    number: dict[bytes, int] = {}
+    root = np.array([number.setdefault(r, len(number)) for r in t["root"].to_pylist()], np.int64)
+    n, s = t["n"].to_numpy(), [t[c].to_numpy().view(np.uint64) for c in ("s1", "s2")]
+    both, out = len(set(side.tolist())) > 1, _Forest(t.num_rows)
+    for i in range(t.num_rows):
+        j = slice(i + 1, None)
+        ok = (root[j] != root[i]) & (np.minimum(n[j], n[i]) * 100 >= np.maximum(n[j], n[i]) * PERCENT)
+        if both:
+            ok &= side[j] != side[i]
+        ok &= sum(np.bitwise_count(x[j] ^ x[i]).astype(int) for x in s) <= MAX_DIFFER
+        out.add((i, i + 1 + k) for k in np.flatnonzero(ok).tolist())
+    return out.links
+
+
+def _exact_forest(t: pa.Table, side: np.ndarray) -> list[tuple[int, int]]:
+    """A forest of the links on full sets. Intersections come from products of 0/1 columns, one a shingle that two members have."""
+    sets = shingle_sets(t["text"].combine_chunks())
+    size = np.array([len(x) for x in sets], np.int64)
+    every, times = np.unique(np.concatenate(sets), return_counts=True)
+    shared = every[times > 1]
+    member = np.repeat(np.arange(len(sets)), size)
+    at = np.concatenate(sets)
+    col = np.minimum(np.searchsorted(shared, at), max(0, len(shared) - 1))
+    keep = shared[col] == at if len(shared) else np.zeros(len(at), bool)
+    member, col = member[keep], col[keep]
+    order = np.argsort(col, kind="stable")
+    member, col = member[order], col[order]
+    common = np.zeros((len(sets), len(sets)), np.float32)
+    for lo in range(0, len(shared), 4096):
+        a, z = np.searchsorted(col, [lo, lo + 4096])
+        m = np.zeros((len(sets), min(4096, len(shared) - lo)), np.float32)
+        m[member[a:z], col[a:z] - lo] = 1
+        common += m @ m.T
+    both, out = len(set(side.tolist())) > 1, _Forest(len(sets))
+    for i in range(len(sets)):
+        c = common[i, i + 1 :].astype(np.int64)
+        ok = 100 * c >= PERCENT * (size[i] + size[i + 1 :] - c)
+        if both:
+            ok &= side[i + 1 :] != side[i]
+        out.add((i, i + 1 + k) for k in np.flatnonzero(ok).tolist())
+    return out.links
+
+
+def _blocked(rows: DataFrame, key: str, cols: list[str], forest) -> DataFrame:
+    """Groups of ``rows`` (with their size in ``members``) in blocks of about ``_BLOCK`` members, each block with itself and each two
+    together, through ``forest``: ``u, v`` of the links found. A group within the bound is one task's."""
+    r = rows.withColumn("__n", F.ceil(F.col("members") / F.lit(_BLOCK)).cast("int")).withColumn("__b", F.pmod(F.xxhash64("node"), F.col("__n")).cast("int"))
+    r = r.withColumn("__o", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)))
+    r = r.select(key, F.least("__b", "__o").alias("__i"), F.greatest("__b", "__o").alias("__j"), "__b", *cols)
+
+    def run(t: pa.Table) -> pa.Table:
+        side = t["__b"].to_numpy()
+        i, j = t["__i"][0].as_py(), t["__j"][0].as_py()
+        nodes = t["node"].to_pylist()
+        links = forest(t, side) if i == j or len(set(side.tolist())) > 1 else []
+        return pa.table({"u": pa.array([min(nodes[a], nodes[b]) for a, b in links], pa.binary()), "v": pa.array([max(nodes[a], nodes[b]) for a, b in links], pa.binary())})
+
+    return r.groupBy(key, "__i", "__j").applyInArrow(run, "u binary, v binary")
+
+
 def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (u, v) of nodes whose full sets reach the threshold, as ``u, v``. Stars about u, large ones in salted parts."""
     sizes = pairs.groupBy("u").agg(F.ceil(F.count(F.lit(1)) / F.lit(_STAR)).cast("int").alias("parts"))
     legs = pairs.join(sizes, "u").select(F.col("u").alias("hub"), F.pmod(F.xxhash64("v"), F.col("parts")).cast("int").alias("part"), F.col("v").alias("node"))
     hubs = sizes.select(F.col("u").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("u").alias("node"))
     roles = materialize(legs.unionByName(hubs), "roles")
-    need = roles.select("node").distinct().join(classes.select("node", "row"), "node")
-    texts = docs.select(_row(F.col("doc_id").cast("long"), F.col("text")).alias("row"), "text").join(need, "row").dropDuplicates(["node"]).select("node", "text")
-    stars = roles.join(texts, "node").withColumn("leg", F.col("hub") != F.col("node"))
+    stars = roles.join(_texts(roles.select("node").distinct(), classes, docs), "node").withColumn("leg", F.col("hub") != F.col("node"))
     # a part of a star is at most _STAR texts, hub first
     dealt = stars.repartition(F.col("hub"), F.col("part")).sortWithinPartitions("hub", "part", "leg").select("hub", "part", "node", "text")
 
@@ -186,18 +278,19 @@ def _clusters(docs: DataFrame) -> DataFrame:
     stars = materialize(stars, "stars")
     links = materialize(confirm(stars, classes, docs), "links")
     roots = connected_components(links)
-    # what the stars left: pairs across components in one bucket
+    # what the stars left: buckets with classes of several components
     named = held.select("key", "node", "n", "s1", "s2").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+    mixed = named.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo <> hi").select("key", "members")
     rest = materialize(named.join(mixed, "key"), "rest")
-    a, b = (rest.select("key", *(F.col(c).alias(f"{x}{c}") for c in ("node", "n", "s1", "s2", "root"))) for x in "ab")
-    across = a.join(b, (a["key"] == b["key"]) & (F.col("anode") < F.col("bnode")) & (F.col("aroot") != F.col("broot")) & _plausible("a", "b"))
-    across = across.select(F.col("anode").alias("u"), F.col("bnode").alias("v")).distinct().join(stars, ["u", "v"], "left_anti")
-    across = materialize(across, "across")
-    if not across.isEmpty():
-        more = materialize(confirm(across, classes, docs), "links")
-        if not more.isEmpty():
-            roots = connected_components(links.unionByName(more))
+    near = materialize(_blocked(rest, "key", ["node", "n", "s1", "s2", "root"], _plausible_forest).distinct(), "near")
+    if not near.isEmpty():
+        gathered = connected_components(near)
+        gathered = gathered.unionByName(gathered.select(F.col("root").alias("node"), "root").distinct())
+        sized = gathered.join(gathered.groupBy("root").agg(F.count(F.lit(1)).alias("members")), "root").select("node", F.col("root").alias("gathering"), "members")
+        texts = _texts(sized.select("node"), classes, docs)
+        more = _blocked(sized.join(texts, "node"), "gathering", ["node", "text"], _exact_forest)
+        links = materialize(links.unionByName(more), "links")
+        roots = connected_components(links)
     named = classes.select("node", "least").join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     first = named.groupBy("root").agg(F.min("least").alias("component_id"))
     ids = named.join(first, "root").select("node", "root", "component_id")
