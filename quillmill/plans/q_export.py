@@ -87,3 +87,20 @@ def page_summaries(spark, sf_dir):
 def upload_errors(spark, sf_dir):
     d = spark.createDataFrame([(1, "Upload limit reached", ["a.png"]), (2, "upload limit", []), (3, "timeout", ["a.png"])], "id int, error string, attachments array<string>")
     return d.select("id", E.upload_unavailable(F.col("error"), F.col("attachments")).cast("string").alias("stop"))
+
+
+@query("enrichment_apply", "SELECT * FROM (" + values("id outcome symbol venue frames reasons quality changed", [
+    (1, "enriched", "EURUSD", "FXCM", "M5", "", "high", "primary_symbol,instrument_name,venue,symbols,timeframes"), (2, "enriched", "", "", "", "missing_primary_symbol,missing_timeframe,llm_confidence_medium,llm_reported_uncertainty", "low", ""),
+    (3, "error", "BTCUSD", "", "H1", "", "", ""), (4, "none", "", "", "", "", "", "")]) + ")")
+def enrichment_apply(spark, sf_dir):
+    from quillmill.operators import enrich
+
+    assets = spark.createDataFrame([
+        (1, "chart", 0.9, "high", "EURUSD", None, None, None, [], []), (2, "figure", 0.9, "high", "", None, None, None, [], []), (3, "chart", 0.9, "high", "", "BTCUSD", None, None, ["BTCUSD"], ["H1"]), (4, "figure", 0.2, "low", "", None, None, None, None, None),
+    ], "id int, asset_type string, page_confidence double, density string, ocr string, primary_symbol string, instrument_name string, venue string, symbols array<string>, timeframes array<string>")
+    results = spark.createDataFrame([
+        (1, "ok", '{"short_caption": "EURUSD chart", "visible_text": "Euro / US-Dollar - 5 - FXCM", "confidence": "high"}', "p"), (2, "ok", '{"short_caption": "a picture", "limitations": ["text is illegible"], "confidence": "odd"}', "p"), (3, "error", None, "p"),
+    ], "id int, status string, reply string, prompt string")
+    got = enrich.apply(assets, results)
+    text = lambda c: F.coalesce(c, F.lit(""))
+    return got.select("id", "outcome", text(F.col("primary_symbol")).alias("symbol"), text(F.col("venue")).alias("venue"), text(F.array_join("timeframes", ",")).alias("frames"), text(F.array_join("review_reasons", ",")).alias("reasons"), text(F.col("annotation_quality")).alias("quality"), text(F.when(F.col("outcome") == "enriched", F.array_join("changed", ","))).alias("changed"))
