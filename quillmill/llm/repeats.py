@@ -68,6 +68,13 @@ def _sliding(x: np.ndarray, width: int, op) -> np.ndarray:
     return x
 
 
+def _even(h: np.ndarray) -> np.ndarray:
+    """One to one over 64 bits. Anchors are least hashes, so their upper bits, which say the bucket, are anything but even."""
+    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return h ^ (h >> np.uint64(33))
+
+
 def runs(data: np.ndarray, length: int = LENGTH, core: int = CORE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Runs of windows with one anchor: first window, last window, place and hash of the anchor."""
     if len(data) < length:
@@ -81,7 +88,7 @@ def runs(data: np.ndarray, length: int = LENGTH, core: int = CORE) -> tuple[np.n
     pad = np.zeros(width - 1, np.uint64)
     anchors = np.flatnonzero(_sliding(np.concatenate([pad, least, pad]), width, np.maximum) == h)
     if len(anchors) == len(first):
-        return first, last, anchors, h[anchors]
+        return first, last, anchors, _even(h[anchors])
     out = []  # an anchor that recurs close by (periodic text): the leftmost of each window counts
     for a, z in zip(first.tolist(), last.tolist(), strict=True):
         at = a
@@ -90,7 +97,7 @@ def runs(data: np.ndarray, length: int = LENGTH, core: int = CORE) -> tuple[np.n
                 out.append((at, min(z, p), p))
                 at = p + 1
     f, e, p = (np.array(c, np.int64) for c in zip(*out, strict=True))
-    return f, e, p, h[p]
+    return f, e, p, _even(h[p])
 
 
 class Block:
