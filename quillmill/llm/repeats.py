@@ -265,26 +265,27 @@ def remove_repeats(docs: DataFrame, outputs: bool = False) -> DataFrame:
     def finish(_, payload, found):
         ids, b = _load(payload)
         known = _known(b, n, found)
-        marks: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        run, words = [], []
         for k, own in b.regions(known, n).items():
-            bits = np.frombuffer(expand(found[-1 - k]), "<u8").tolist()
-            for (_, at), word in zip(own, bits, strict=True):
-                for r in at if word else ():
-                    marks[int(b.doc[r])].append((int(b.first[r]), word))
+            for (_, at), word in zip(own, np.frombuffer(expand(found[-1 - k]), "<u8").tolist(), strict=True):
+                if word:
+                    run += at
+                    words += [word] * len(at)
+        # one line of bytes for the block: a window that is told of starts 1 there and ends LENGTH on, within its document
+        base = np.r_[0, np.cumsum([len(r) for r in b.raw], dtype=np.int64)]
+        run, words = np.array(run, np.int64), np.array(words, np.uint64)
+        first, step = base[b.doc[run]] + b.first[run], np.zeros(base[-1] + 1, np.int32)
+        for k in range(SPAN):
+            at = first[(words >> np.uint64(k)) & np.uint64(1) > 0] + k
+            np.add.at(step, at, 1)
+            np.subtract.at(step, at + LENGTH, 1)
+        all_gone = np.cumsum(step[:-1]) > 0
         rows = []
         for d, (i, raw) in enumerate(zip(ids, b.raw, strict=True)):
-            removed = spans = 0
-            if d in marks:
-                step = np.zeros(len(raw) + 1, np.int32)
-                for first, word in marks[d]:
-                    at = first + np.flatnonzero(np.unpackbits(np.frombuffer(word.to_bytes(8, "little"), np.uint8), bitorder="little"))
-                    step[at] += 1
-                    np.subtract.at(step, at + LENGTH, 1)
-                gone = np.cumsum(step[:-1]) > 0
-                removed, spans = int(gone.sum()), int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
-                kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
-            else:
-                kept = raw
+            gone = all_gone[base[d] : base[d + 1]]
+            removed = int(gone.sum())
+            spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()) if removed else 0
+            kept = np.frombuffer(raw, np.uint8)[~gone].tobytes() if removed else raw
             rows.append((i, len(raw), removed, spans, hashlib.sha256(kept).hexdigest(), *((kept,) if outputs else ())))
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
         names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][: 5 + outputs]
