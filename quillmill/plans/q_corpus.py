@@ -70,6 +70,12 @@ def keyword_labels(spark, sf_dir):
     return d.select("doc_id", F.array_join(X.keyword_labels(F.col("text"), _COMMON), ",").alias("labels"))
 
 
+# keyword_labels holds the pure ASCII documents, as its SQL does; SQL has no NFKD folding, so all documents are a query without SQL
+@query("keyword_labels_all")
+def keyword_labels_all(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(X.keyword_labels(F.col("text"), _COMMON), ",").alias("labels"))
+
+
 @query("page_slugs", """
 WITH s AS (SELECT page_id, trim(regexp_replace(regexp_replace(trim(replace(url, '\\', '/'), '/'), '[^a-zA-Z0-9/_-]+', '-', 'g'), '-{2,}', '-', 'g'), '-') AS slug FROM pages)
 SELECT page_id, slug, substr(sha1('pdf_asset::' || slug || '::1::2'), 1, 16) AS pair_id FROM s

@@ -1,5 +1,8 @@
 """Every query with SQL against DuckDB, on the smallest tables."""
 
+import re
+import unicodedata
+
 import duckdb
 import pytest
 
@@ -37,3 +40,17 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(registry.queries()) <= set(__spark_entry__.queries())
+
+
+def test_keyword_labels_of_all_documents(spark):
+    from quillmill.plans.q_corpus import _COMMON
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    extra = [(-1, None), (-2, ""), (-3, "Die Schüler — ein \u0130diot \U0001f600"), (-4, "thé Ｌicense"), (-5, "überdie y\u0301 copyrights")]
+    at = f"{spark.conf.get('spark.checkpoint.dir')}/keywords"
+    docs.unionByName(spark.createDataFrame(extra, docs.schema)).write.mode("overwrite").parquet(f"{at}/documents.parquet")
+    want = []
+    for i, t in [*map(tuple, docs.collect()), *extra]:
+        low = unicodedata.normalize("NFKD", t or "").encode("ascii", "ignore").decode().lower()
+        want.append((i, ",".join(sorted(k for k, w in _COMMON.items() if any(x in w for x in re.split("[^a-z0-9]", low))))))
+    assert sorted(tuple(r) for r in registry.queries()["keyword_labels_all"](spark, at).collect()) == sorted(want)
