@@ -1,7 +1,7 @@
 """Nearest neighbours by vantage-point trees, one for each shard of the vectors.
 
-Largest inner product becomes smallest Euclidean distance by one more component: with M the largest norm of the
-table, x -> (x, sqrt(M^2 - |x|^2)) and q -> (q, 0) give |x' - q'|^2 = M^2 + |q|^2 - 2 q.x.
+Largest inner product becomes smallest Euclidean distance by one more component: with M the largest norm of a
+shard, x -> (x, sqrt(M^2 - |x|^2)) and q -> (q, 0) give |x' - q'|^2 = M^2 + |q|^2 - 2 q.x.
 
 A shard (vectors dealt by hash of their id, about ``SHARD`` each) keeps its vectors in a tree: a node's vantage
 point splits the rest at the median distance, leaves hold up to ``LEAF``. A block of queries walks the tree
@@ -13,8 +13,8 @@ copies neither unbalance a tree nor multiply work. Queries travel in blocks of `
 set of queries against all rows, not a join of rows with rows. Candidates are rescored in double precision, one
 component after another.
 
-Defined results: vectors null, zero, of another length than most (the longest is taken), or with null or
-non-finite components take no part; equal scores go by smaller id; rows repeated under one id are one candidate
+Defined results: vectors null, zero, or with null or non-finite components take no part; vectors of different
+lengths have no inner product, so a query meets those of its own length; equal scores go by smaller id; rows repeated under one id are one candidate
 row each; null ids take no part; an empty table gives no rows.
 """
 
@@ -97,39 +97,42 @@ def exact_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = K, relax: float = RELAX, shard: int = SHARD) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row of ``queries`` (vec_id, v) its k best of ``vectors`` but itself."""
-    spark = vectors.sparkSession
-    shape = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)).alias("m")).first()
-    n, dim, most = shape["n"], shape["d"] or 0, shape["m"] or 0.0
-    shards = max(1, -(-n // shard))
-    pack = "k int, ids binary, vecs binary"
+    pack = "d int, k int, ids binary, vecs binary"
 
     def packer(key):
         def run(t: pa.Table) -> pa.Table:
             ids = t["vec_id"].to_numpy()
             order = np.argsort(ids, kind="stable")
-            v = np.array(t["v"].combine_chunks().flatten().to_numpy()).reshape(len(ids), dim)
-            return pa.table({"k": pa.array([t[key][0].as_py()], pa.int32()), "ids": pa.array([ids[order].astype("<i8").tobytes()], pa.binary()), "vecs": pa.array([v[order].astype("<f8").tobytes()], pa.binary())})
+            d = t["d"][0].as_py()
+            v = np.array(t["v"].combine_chunks().flatten().to_numpy()).reshape(len(ids), d)
+            cols = [([d], pa.int32()), ([t[key][0].as_py()], pa.int32()), ([ids[order].astype("<i8").tobytes()], pa.binary()), ([v[order].astype("<f8").tobytes()], pa.binary())]
+            return pa.table([pa.array(c, kind) for c, kind in cols], names=["d", "k", "ids", "vecs"])
 
         return run
 
-    same = vectors.where(F.size("v") == dim).withColumn("shard", F.pmod(F.xxhash64("vec_id", F.lit("shard")), F.lit(shards)).cast("int"))
-    packed = same.groupBy("shard").applyInArrow(packer("shard"), pack).select(F.col("k").alias("shard"), F.col("ids").alias("xi"), F.col("vecs").alias("xv"))
-    q = queries.where(F.size("v") == dim)
-    blocks = max(1, -(-q.count() // BLOCK))
-    q = q.withColumn("blk", F.pmod(F.xxhash64("vec_id", F.lit("query")), F.lit(blocks)).cast("int"))
-    qp = q.groupBy("blk").applyInArrow(packer("blk"), pack).select(F.col("k").alias("blk"), F.col("ids").alias("qi"), F.col("vecs").alias("qv"))
-    # each block of queries meets each shard once
-    meet = qp.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).join(packed, "shard")
+    def dealt(rows: DataFrame, key: str, most: int) -> tuple[DataFrame, DataFrame]:
+        """The rows packed by length and part of about ``most``; and the lengths with their numbers of parts."""
+        rows = rows.withColumn("d", F.size("v"))
+        parts = rows.groupBy("d").agg(F.ceil(F.count(F.lit(1)) / F.lit(most)).cast("int").alias("parts"))
+        rows = rows.join(F.broadcast(parts), "d").withColumn(key, F.pmod(F.xxhash64("vec_id", F.lit(key)), F.col("parts")).cast("int"))
+        return rows.groupBy("d", key).applyInArrow(packer(key), pack).withColumnRenamed("k", key), parts
+
+    packed, shards = dealt(vectors, "shard", shard)
+    packed = packed.select("d", "shard", F.col("ids").alias("xi"), F.col("vecs").alias("xv"))
+    qp, _ = dealt(queries, "query", BLOCK)
+    qp = qp.select("d", "query", F.col("ids").alias("qi"), F.col("vecs").alias("qv"))
+    # each block of queries meets each shard of its length once
+    meet = qp.join(F.broadcast(shards), "d").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).join(packed, ["d", "shard"])
 
     def run(batches):
-        kept: tuple[bytes, object] = (b"", None)
+        kept: tuple[object, object] = (None, None)
         for b in batches:
             for r in b.to_pylist():
-                if kept[0] != r["xi"]:
-                    kept = (r["xi"], _index(r, dim, most, k))
+                if kept[0] != (r["d"], r["xi"]):
+                    kept = ((r["d"], r["xi"]), _index(r, k))
                 tree, ids, raw = kept[1]
                 qi = np.frombuffer(r["qi"], "<i8")
-                qv = np.frombuffer(r["qv"], "<f8").reshape(len(qi), dim)
+                qv = np.frombuffer(r["qv"], "<f8").reshape(len(qi), r["d"])
                 who, _, _ = tree.search(np.c_[qv, np.zeros(len(qv))], min(k + 1, len(raw)), relax)
                 row, col = np.nonzero(who >= 0)
                 got = who[row, col]
@@ -141,16 +144,16 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, relax: float = RE
                 cols = list(zip(*rows, strict=True)) if rows else [(), (), ()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["query_id", "vec_id", "score"])
 
-    found = meet.select("xi", "xv", "qi", "qv").mapInArrow(run, "query_id long, vec_id long, score double")
+    found = meet.select("d", "xi", "xv", "qi", "qv").mapInArrow(run, "query_id long, vec_id long, score double")
     # a query has at most k rows of each shard
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _index(r: dict, dim: int, most: float, k: int):
+def _index(r: dict, k: int):
     """The tree over a shard's distinct vectors; each one's smallest ids, as many as can matter."""
     xi = np.frombuffer(r["xi"], "<i8")
-    xv = np.frombuffer(r["xv"], "<f8").reshape(len(xi), dim)
+    xv = np.frombuffer(r["xv"], "<f8").reshape(len(xi), r["d"])
     first: dict[bytes, int] = {}
     ids: list[list[int]] = []
     at = []
@@ -162,6 +165,7 @@ def _index(r: dict, dim: int, most: float, k: int):
         if len(ids[j]) <= k:
             ids[j].append(int(xi[i]))
     raw = xv[at]
+    most = (raw**2).sum(1).max()
     return Tree(np.c_[raw, np.sqrt(np.maximum(0, most - (raw**2).sum(1)))]), ids, raw
 
 

@@ -39,3 +39,30 @@ def test_few_candidates(spark):
     assert [tuple(r) for r in neighbours.search(v, v.where("vec_id % 20 = 0")).collect()] == [(20, 1, 3, 0.5)]
     none = v.where("vec_id < 0")
     assert neighbours.search(none, none).collect() == []
+
+
+def best_of(rows, k):
+    """As brute, within each length."""
+    out = []
+    for n in {len(v) for _, v in rows}:
+        ok = [(i, np.array(v, float)) for i, v in rows if len(v) == n]
+        x, ids = np.array([v for _, v in ok]), [i for i, _ in ok]
+        for q, qv in ok:
+            if q % 20 == 0:
+                s = neighbours.exact_scores(np.broadcast_to(qv, x.shape), x)
+                best = sorted((-float(a), i) for a, i in zip(s, ids, strict=True) if i != q)[:k]
+                out += [(q, r, i, -a) for r, (a, i) in enumerate(best, 1)]
+    return sorted(out)
+
+
+def searched(spark, rows, **more):
+    v = neighbours.usable(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    return sorted(tuple(r) for r in neighbours.search(v, v.where("vec_id % 20 = 0"), **more).collect())
+
+
+def test_each_length_by_itself(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(300)] + [(1000 + i, rng.normal(size=3).tolist()) for i in range(50)] + [(2001, [1.0] * 5)]
+    got = searched(spark, rows, shard=100)
+    assert len(got) == 20 * (15 + 3)
+    assert got == best_of(rows, 20)
