@@ -1,21 +1,20 @@
-"""Nearest neighbours by vantage-point trees, one for each shard of the vectors.
+"""Largest inner products by vantage-point trees, for each length and shard of the vectors.
 
-Largest inner product becomes smallest Euclidean distance by one more component: with M the largest norm of a
-shard, x -> (x, sqrt(M^2 - |x|^2)) and q -> (q, 0) give |x' - q'|^2 = M^2 + |q|^2 - 2 q.x.
+A shard (vectors of one length, dealt by hash of their id, about ``SHARD`` each) keeps its vectors in a tree: a
+node's vantage point splits the rest at the median distance, leaves hold up to ``LEAF``. A block of queries walks
+the tree together. With a query scaled to length T, q.x = (T^2 + |x|^2 - |q - x|^2) / 2; the triangle inequality
+and a subtree's own largest norm bound that from above, so vectors of huge norm loosen the bound only of the
+subtrees that hold them. A subtree is passed over when the bound, eased for rounding, is below a query's k-th best;
+the gap of the triangle inequality counts ``relax`` times: 1 gives exact search, larger values prune more.
 
-A shard (vectors dealt by hash of their id, about ``SHARD`` each) keeps its vectors in a tree: a node's vantage
-point splits the rest at the median distance, leaves hold up to ``LEAF``. A block of queries walks the tree
-together; a subtree is passed over when the triangle inequality puts all of it beyond a query's k-th best,
-``relax`` times the bound being asked for: 1 gives exact search, larger values prune more.
-
-Equal vectors of a shard are one point with its ids ascending (the k + 1 smallest can matter, and are kept), so
-copies neither unbalance a tree nor multiply work. Queries travel in blocks of ``BLOCK`` to every shard: a stated
-set of queries against all rows, not a join of rows with rows. Candidates are rescored in double precision, one
-component after another.
+Leaves are ranked by the exact scores themselves, in double precision, one component after another, and equal
+scores by smaller id. Equal vectors of a shard are one point with its ids ascending (the k + 1 smallest can matter,
+and are kept), so copies neither unbalance a tree nor multiply work. Queries travel in blocks of ``BLOCK`` to every
+shard of their length: a stated set of queries against all rows, not a join of rows with rows.
 
 Defined results: vectors null, zero, or with null or non-finite components take no part; vectors of different
-lengths have no inner product, so a query meets those of its own length; equal scores go by smaller id; rows repeated under one id are one candidate
-row each; null ids take no part; an empty table gives no rows.
+lengths have no inner product, so a query meets those of its own length; equal scores go by smaller id; rows
+repeated under one id are one candidate row each; null ids take no part; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -41,6 +40,7 @@ class Tree:
 
     def __init__(self, points: np.ndarray, leaf: int = LEAF) -> None:
         self.points, self.leaf = points, leaf
+        self.norms = np.linalg.norm(points, axis=1)
         self.root = self._build(np.arange(len(points)), np.random.default_rng(len(points)))
 
     def _build(self, at: np.ndarray, rng):
@@ -53,7 +53,7 @@ class Tree:
         order = np.argsort(d, kind="stable")
         half = len(at) // 2
         inner, outer = order[:half], order[half:]
-        bounds = (d[inner[0]], d[inner[-1]], d[outer[0]], d[outer[-1]])
+        bounds = (d[inner[0]], d[inner[-1]], d[outer[0]], d[outer[-1]], self.norms[at[inner]].max(), self.norms[at[outer]].max())
         return vantage, bounds, self._build(at[inner], rng), self._build(at[outer], rng)
 
     def search(self, q: np.ndarray, k: int, relax: float = 1.0) -> tuple[np.ndarray, np.ndarray, int]:
@@ -76,7 +76,7 @@ class Tree:
                 pick = np.argpartition(alld, k - 1, axis=1)[:, :k]
                 best[mine], who[mine] = np.take_along_axis(alld, pick, 1), np.take_along_axis(allw, pick, 1)
                 return
-            vantage, (a, b, c, e), inner, outer = node
+            vantage, (a, b, c, e, *_), inner, outer = node
             d = np.linalg.norm(q[mine] - self.points[vantage], axis=1)
             near = d <= (b + c) / 2
             for side, lo, hi, first in ((inner, a, b, near), (outer, c, e, ~near), (outer, c, e, near), (inner, a, b, ~near)):
@@ -86,6 +86,52 @@ class Tree:
         walk(self.root, np.arange(len(q)))
         return who, best, looked
 
+    def largest(self, q: np.ndarray, k: int, relax: float = 1.0) -> tuple[np.ndarray, np.ndarray, int]:
+        """The k points of largest inner product with each query, of equal ones the first: indices (-1: none) and exact scores; and how many were compared."""
+        score = np.full((len(q), k), -np.inf)
+        who = np.full((len(q), k), -1, np.int64)
+        looked = 0
+        t = float(np.median(self.norms)) if len(self.norms) else 1.0
+        columns = np.ascontiguousarray(self.points.T)
+        with np.errstate(all="ignore"):
+            scale = t / np.linalg.norm(q, axis=1)
+            scaled = q * scale[:, None]
+        if not 1e-100 < t < 1e100:  # squares would leave the range of doubles: no bound, all is scanned
+            scale[:] = np.nan
+
+        def walk(node, mine: np.ndarray) -> None:
+            nonlocal looked
+            if not len(mine):
+                return
+            if not isinstance(node, tuple):
+                looked += len(mine) * len(node)
+                s = exact_table(q[mine], columns[:, node])
+                some = (s >= score[mine].min(1)[:, None]).any(1)
+                mine, s = mine[some], s[some]
+                s, w = np.concatenate([score[mine], s], axis=1), np.concatenate([who[mine], np.broadcast_to(node, s.shape)], axis=1)
+                pick = np.lexsort((w, -s), axis=1)[:, :k]
+                score[mine], who[mine] = np.take_along_axis(s, pick, 1), np.take_along_axis(w, pick, 1)
+                return
+            vantage, (a, b, c, e, m, n), inner, outer = node
+            with np.errstate(all="ignore"):
+                d = np.linalg.norm(scaled[mine] - self.points[vantage], axis=1)
+                near = d <= (b + c) / 2
+                for side, lo, hi, most, first in ((inner, a, b, m, near), (outer, c, e, n, ~near), (outer, c, e, n, near), (inner, a, b, m, ~near)):
+                    gap = np.maximum(0, np.maximum(lo - d, d - hi) - 1e-9 * (d + hi + t)) * relax
+                    bound = (t * t + most * most - gap * gap) / 2 + 1e-9 * (t * t + most * most)
+                    walk(side, mine[first & ~(bound < score[mine].min(1) * scale[mine])])  # bounds that aren't numbers prune nothing
+
+        walk(self.root, np.arange(len(q)))
+        return who, score, looked
+
+
+def exact_table(q: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """:func:`exact_scores` of every query with every point; ``columns``: a row a component."""
+    s = np.zeros((len(q), columns.shape[1]))
+    for j in range(len(columns)):
+        s += q[:, j, None] * columns[j]
+    return s
+
 
 def exact_scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Inner products in double precision, components added in order."""
@@ -130,13 +176,11 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, relax: float = RE
             for r in b.to_pylist():
                 if kept[0] != (r["d"], r["xi"]):
                     kept = ((r["d"], r["xi"]), _index(r, k))
-                tree, ids, raw = kept[1]
+                tree, ids = kept[1]
                 qi = np.frombuffer(r["qi"], "<i8")
-                qv = np.frombuffer(r["qv"], "<f8").reshape(len(qi), r["d"])
-                who, _, _ = tree.search(np.c_[qv, np.zeros(len(qv))], min(k + 1, len(raw)), relax)
+                who, score, _ = tree.largest(np.frombuffer(r["qv"], "<f8").reshape(len(qi), r["d"]), min(k + 1, len(ids)), relax)
                 row, col = np.nonzero(who >= 0)
-                got = who[row, col]
-                score = exact_scores(qv[row], raw[got])
+                got, score = who[row, col], score[row, col]
                 out = {}
                 for i, g, s in zip(row.tolist(), got.tolist(), score.tolist(), strict=True):
                     out.setdefault(i, []).extend((-s, x) for x in ids[g] if x != qi[i])
@@ -151,7 +195,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, relax: float = RE
 
 
 def _index(r: dict, k: int):
-    """The tree over a shard's distinct vectors; each one's smallest ids, as many as can matter."""
+    """The tree over a shard's distinct vectors, by smallest id; each one's smallest ids, as many as can matter."""
     xi = np.frombuffer(r["xi"], "<i8")
     xv = np.frombuffer(r["xv"], "<f8").reshape(len(xi), r["d"])
     first: dict[bytes, int] = {}
@@ -164,9 +208,7 @@ def _index(r: dict, k: int):
             at.append(i)
         if len(ids[j]) <= k:
             ids[j].append(int(xi[i]))
-    raw = xv[at]
-    most = (raw**2).sum(1).max()
-    return Tree(np.c_[raw, np.sqrt(np.maximum(0, most - (raw**2).sum(1)))]), ids, raw
+    return Tree(xv[at]), ids
 
 
 def op10_neighbours(spark, sf_dir: str) -> DataFrame:

@@ -66,3 +66,26 @@ def test_each_length_by_itself(spark):
     got = searched(spark, rows, shard=100)
     assert len(got) == 20 * (15 + 3)
     assert got == best_of(rows, 20)
+
+
+@pytest.mark.parametrize("norm", [1e6, 1e8, 1e12, 1e160])
+def test_one_vector_of_huge_norm(spark, norm):
+    x = np.random.default_rng(4).normal(size=(3000, 8))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    rows = [*enumerate(x.tolist()), (3001, (x[0] * norm).tolist())]
+    assert searched(spark, rows) == best_of(rows, 20)
+
+
+def test_ties_at_the_cut_go_by_smaller_id(spark):
+    x = np.random.default_rng(5).integers(-1, 2, (3000, 8))
+    x[:, 0] = 1
+    rows = [(int(i), v) for i, v in zip(np.random.default_rng(6).permutation(3000), x.astype(float).tolist(), strict=True)]
+    assert searched(spark, rows) == best_of(rows, 20)
+
+
+def test_largest_prunes():
+    rng = np.random.default_rng(7)
+    x, q = rng.normal(size=(3000, 4)), rng.normal(size=(40, 4))
+    who, _, looked = neighbours.Tree(x, 64).largest(q, 10)
+    assert (who == np.argsort(-(q @ x.T), axis=1)[:, :10]).all()
+    assert looked < 40 * 3000
