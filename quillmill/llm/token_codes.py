@@ -175,8 +175,8 @@ class Encoder:
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text's begin and end in them (null: empty)."""
         texts = pc.fill_null(texts, "")
-        # upper case matters only in the names of special tokens
-        texts = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        # upper case matters in the names of special tokens, and before a combining mark, with which it may compose otherwise than lower case
+        texts = pc.if_else(pc.match_substring_regex(texts, r"<\||[A-Z]\p{M}"), texts, pc.ascii_lower(texts))
         cut = pc.ascii_split_whitespace(texts)
         words = cut.flatten().dictionary_encode()
         of, distinct = words.indices.to_numpy(), words.dictionary.to_pylist()

@@ -11,6 +11,9 @@ from quillmill.llm import bpe, token_codes
 TEXTS = ["", None, "it's <|endoftext|> A<|EndOfText|>é ΣΑΣ ² ½x İi foo\x1cbar don't 'S", "a'b'll  l'l 12ab3\n\n x\t y", " \n", "x" * 5000, "日本語 テキスト　全角", "plain words, and plain words."]
 WORDS, BYTES = P.path("word_bpe_49k.json"), P.path("byte_bpe_multi_50k.tiktoken")
 
+#: Composed with their marks only in lower case; the last with another mark between.
+TEXTS += [f"{c} some {c}Text {c.lower()}" for c in ("H\u0331", "J\u030c", "T\u0308", "W\u030a", "Y\u030a", "J\u0323\u030c")]
+
 
 @pytest.mark.parametrize("chunk", [8, 16])
 def test_codes_round_trip(chunk):
