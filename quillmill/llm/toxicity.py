@@ -7,7 +7,8 @@ that shares its beginning with toxic expressions leans towards them.
 
 A word's log-likelihood ratio is worked out once for each distinct word a task meets. A document is judged by
 length-normalised ratios: over the whole text, and over its most toxic stretches of ``SPANS`` words, so that a
-long text with one toxic passage isn't washed out. A logistic curve, fitted on out-of-fold ratios, turns the
+long text with one toxic passage isn't washed out. Runs of letters over ``PIECE`` characters, as unspaced scripts have,
+count as several words, in training as in scoring. A logistic curve, fitted on out-of-fold ratios, turns the
 three into a score from 0 to 1.
 
 The models are fitted on a bounded sample of labelled rows: for each class the ``MAX_DOCS`` rows of lowest hash,
@@ -36,6 +37,17 @@ SPANS = (3, 12)
 #: The bound of the sample that the classifier is fitted on, for each class.
 MAX_DOCS, MAX_CHARS = 3000, 12_000_000
 _LETTERS = re.compile(r"\w+")
+#: Longer words are judged in pieces, of which neighbours share all but one character of a gram.
+PIECE = 64
+
+
+def words_of(text: str) -> list[str]:
+    """Lower-case words, those over ``PIECE`` characters as overlapping pieces that hold every gram of theirs."""
+    words = _LETTERS.findall(text.lower())
+    if not words or max(map(len, words)) <= PIECE:
+        return words
+    step = PIECE - TOP + 1
+    return [w[i : i + PIECE] for w in words for i in range(0, max(1, len(w) - TOP + 1), step)]
 
 
 def _grams(words: Counter[str]) -> list[Counter[str]]:
@@ -95,7 +107,7 @@ class Models:
             self.classes.append((logs, back))
 
     def ratio(self, word: str) -> float:
-        s = f"^{word}$" if len(word) <= 64 else f"^{word[:64]}$"  # a word's first 64 characters are its spelling here
+        s = f"^{word}$"
         (tl, tb), (ol, ob) = self.classes
         total = 0.0
         for i in range(2, len(s) + 1):
@@ -120,7 +132,7 @@ def _featurizer(models: Models):
     cache = Bounded(models.ratio, 1_000_000)
 
     def of(text: str) -> tuple[float, ...]:
-        return features(np.array([*map(cache.__getitem__, _LETTERS.findall(text.lower()))], float))
+        return features(np.array([*map(cache.__getitem__, words_of(text))], float))
 
     return of
 
@@ -147,7 +159,7 @@ class Classifier:
         self.models = self.curve = None
         if len({y for _, y in rows}) < 2:
             return
-        words = [Counter(w for w in _LETTERS.findall(t.lower())) for t, _ in rows]
+        words = [Counter(words_of(t)) for t, _ in rows]
 
         def summed(keep):
             out = [Counter(), Counter()]

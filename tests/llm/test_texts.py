@@ -141,6 +141,19 @@ def test_toxicity():
     assert toxicity.Classifier([]).scorer()("x") == (0.0, 0)
 
 
+def test_toxicity_in_unspaced_text():
+    rng = random.Random(9)
+    run = lambda n: words(rng, n).replace(" ", "")
+    f = toxicity.Classifier([(run(60), 0) for _ in range(150)] + [(run(40) + "grumpf" + rng.choice("abcdef") + run(40), 1) for _ in range(60)]).scorer()
+    assert sum(f(run(60) + "grumpfa" + run(20))[1] for _ in range(20)) >= 19
+    assert sum(f(run(80))[1] for _ in range(30)) <= 1
+    for n in (0, 1, 63, 64, 65, 69, 70, 123, 124, 500):
+        w = "".join(rng.choice("abcd") for _ in range(n))
+        p = toxicity.words_of(w)
+        assert {x[i : i + 6] for x in p for i in range(len(x) - 5)} == {w[i : i + 6] for i in range(n - 5)}
+        assert "".join([*p[:1], *(x[5:] for x in p[1:])]) == w
+
+
 def test_toxicity_table(spark):
     d = spark.createDataFrame([(1, None, "c"), (2, "", "c"), (None, "x", "c"), (1, None, "c")], f"{DOC}, score string")
     got = toxicity.score(d, toxicity.fit(d, spark.createDataFrame([], "doc_id long, quality int, toxic int"))).collect()
