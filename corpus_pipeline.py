@@ -37,7 +37,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @shipped
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), outputs=True)
 
 
 STAGES = [

@@ -34,3 +34,18 @@ def test_pipeline(spark):
     assert mixed.select("doc_id").subtract(safe.select("doc_id")).count() == 0
     assert last.count() == mixed.count()
     assert last.select("decoded_sha256").distinct().count() == mixed.select("text").distinct().count()
+
+
+def test_pipeline_writes_ids(spark):
+    import hashlib
+
+    import numpy as np
+
+    import corpus_pipeline
+
+    d = spark.createDataFrame([(1, "some words, and ids"), (2, None)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in dict(corpus_pipeline.STAGES)["bpe"](spark, d, SF).collect()}
+    for i, t in ((1, b"some words, and ids"), (2, b"")):
+        assert bytes(got[i]["decoded"]) == t
+        assert len(got[i]["ids"]) == got[i]["n_tokens"]
+        assert hashlib.sha256(np.array(got[i]["ids"], "<u4").tobytes()).hexdigest() == got[i]["ids_sha256"]
