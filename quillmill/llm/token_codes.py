@@ -9,8 +9,9 @@ its length, its chunks, and, but for the last, its bitmap and its directory. Seg
 are the rows of the written table, next to the ids of their documents and the documents' first places.
 
 ``write_tokens`` keeps ascending doc_id order (null ids first; repeated ids side by side, by content), with one
-shuffle of the already coded ids. ``read_tokens`` gives a row per document. Null texts are empty; extra columns
-are ignored; an empty table makes no segment and reads as no rows.
+shuffle of the ids; they are coded once, a segment at a time. ``read_tokens`` gives a row per document. Null texts are
+empty; long texts are encoded whole, and a document longer than a segment makes a segment of its own length; rows that
+repeat a doc_id stay side by side; extra columns are ignored; an empty table makes no segment and reads as no rows.
 """
 
 from __future__ import annotations
@@ -114,6 +115,8 @@ class Codes:
 
 #: Bounds of each Python worker's caches: parts of texts between white space, and runs of letters or others in them.
 MAX_PARTS, MAX_RUNS = 1_000_000, 600_000
+#: Below this code point (Latin, Greek, Cyrillic) letters are letters to every library; İ alone grows a mark in lower case.
+_KNOWN, _GROWS = "\u0530", "\u0130"
 
 
 class Encoder:
@@ -121,9 +124,10 @@ class Encoder:
 
     The tokenizer drops white space before it forms pieces, so a text's ids are those of the parts between its
     ASCII white space, one after another. It puts case away and never joins letters with other characters but in
-    contractions, so a part in normal form is in turn its runs of letters and of others. Texts are cut and their
-    distinct parts found by Arrow kernels; a worker keeps the ids of parts and runs it has met. New runs of letters
-    go to the library together, and are told apart by word ends.
+    contractions, so a part in normal form, of scripts where what is a letter is beyond doubt, is in turn its runs of
+    letters and of others; all other parts go to the library whole. Texts are cut and their distinct parts found by
+    Arrow kernels; a worker keeps the ids of parts and runs it has met. New runs of letters go to the library
+    together, and are told apart by word ends.
     """
 
     def __init__(self, path: str) -> None:
@@ -131,67 +135,81 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.ends = np.zeros(self.tok.get_vocab_size(), bool)
+        size = self.tok.get_vocab_size()
+        self.kind = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
+        self.ends = np.zeros(size, bool)
         for word, i in self.tok.get_vocab().items():
             self.ends[i] = word.endswith("</w>")
         self.parts: dict[str, bytes] = {}
         self.runs: dict[str, bytes] = {}
         self.split = regex.compile(r"\p{L}+|\P{L}+").findall
-        self.letters = regex.compile(r"\p{L}+").fullmatch
 
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def _wholes(self, some: list[str]):
+        """Of each string the ids that the library gives it alone."""
+        for i in range(0, len(some), 1000):
+            for e in self.tok.encode_batch_fast(some[i : i + 1000], add_special_tokens=False):
+                yield np.array(e.ids, self.kind).tobytes()
 
-    def _learn(self, parts: set[str]) -> None:
+    def _learn(self, parts: list[str]) -> None:
         if len(self.parts) + len(parts) > MAX_PARTS:
             self.parts.clear()
-        plain, new = {}, set()
+        plain, new, whole = {}, set(), []
         for p in parts:
-            if "'" in p or "<|" in p or not is_normalized("NFC", p):
-                self.parts[p] = self.whole(p)
+            if p.isalpha() and p.isascii():
+                plain[p] = (p,)
+                new.add(p)
+            elif p[:-1].isalpha() and p.isascii():
+                plain[p] = (p[:-1], p[-1])
+                new.update(plain[p])
+            elif "'" in p or "<|" in p or not p.isascii() and (max(p) >= _KNOWN or _GROWS in p or not is_normalized("NFC", p)):
+                whole.append(p)
             else:
-                plain[p] = runs = self.split(p)
+                plain[p] = runs = (p,) if p.isalpha() else self.split(p)
                 new.update(runs)
+        self.parts.update(zip(whole, self._wholes(whole), strict=True))
         new.difference_update(self.runs)
         if len(self.runs) + len(new) > MAX_RUNS:
             self.runs.clear()
             new = {r for runs in plain.values() for r in runs}
-        words = [r for r in new if self.letters(r)]
+        words = [r for r in new if r.isalpha()]
+        left = [r for r in new if not r.isalpha()]
         for i in range(0, len(words), 2000):
             some = words[i : i + 2000]
-            ids = np.array(self.tok.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
-            cut = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            ids = np.array(self.tok.encode(" ".join(some), add_special_tokens=False).ids, np.uint32)
+            cut = (np.flatnonzero(self.ends[ids]) + 1) * self.kind.itemsize
             if len(cut) == len(some):
-                data, a = ids.tobytes(), 0
+                data, a = ids.astype(self.kind).tobytes(), 0
                 for r, z in zip(some, cut.tolist(), strict=True):
                     self.runs[r] = data[a:z]
                     a = z
             else:  # a word's normal form holds more than letters
-                self.runs.update((r, self.whole(r)) for r in some)
-        self.runs.update((r, self.whole(r)) for r in new if r not in self.runs)
+                left += some
+        self.runs.update(zip(left, self._wholes(left), strict=True))
         for p, runs in plain.items():
             self.parts[p] = self.runs[runs[0]] if len(runs) == 1 else b"".join([self.runs[r] for r in runs])
 
-    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, and where each text's begin and end in them (null: empty)."""
+    def __call__(self, texts: pa.Array) -> pa.Array:
+        """Each text's ids, as bytes of ``kind`` (null: empty)."""
         texts = pc.fill_null(texts, "")
         # upper case matters in the names of special tokens, and before a combining mark, with which it may compose otherwise than lower case
         texts = pc.if_else(pc.match_substring_regex(texts, r"<\||[A-Z]\p{M}"), texts, pc.ascii_lower(texts))
         cut = pc.ascii_split_whitespace(texts)
         words = cut.flatten().dictionary_encode()
-        of, distinct = words.indices.to_numpy(), words.dictionary.to_pylist()
-        if new := {p for p in distinct if p not in self.parts}:
-            self._learn(new)
-        if new and any(p not in self.parts for p in distinct):  # the cache was emptied to hold the new
-            self._learn({p for p in distinct if p not in self.parts})
-        data = [self.parts[p] for p in distinct]
-        ids = np.frombuffer(b"".join(data), "<u4")
-        size = np.fromiter(map(len, data), np.int64, len(data)) >> 2
-        start = np.cumsum(size) - size
-        n = size[of]
-        ends = np.r_[0, np.cumsum(n)]
-        out = ids[np.repeat(start[of] - ends[:-1], n) + np.arange(ends[-1])]
-        return out, ends[cut.offsets.to_numpy() - cut.offsets[0].as_py()]
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = [*map(self.parts.get, distinct)]
+        if None in found:
+            self._learn([p for p, ids in zip(distinct, found, strict=True) if ids is None])
+            found = [*map(self.parts.get, distinct)]
+        if None in found:  # the cache was emptied to hold the new
+            self.parts.clear()
+            self._learn(distinct)
+            found = [*map(self.parts.get, distinct)]
+        # the parts' ids side by side, then cut anew by text
+        ids = pa.array(found, pa.large_binary()).take(words.indices)
+        _, ends, data = ids.buffers()
+        ends = np.frombuffer(ends, np.int64, len(ids) + 1, ids.offset * 8) if len(ids) else np.zeros(1, np.int64)
+        at = ends[cut.offsets.to_numpy() - cut.offsets[0].as_py()]
+        return pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(np.ascontiguousarray(at)), data])
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -205,63 +223,65 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def tokenize(docs: DataFrame, path: str, end: int | None = END) -> DataFrame:
-    """``doc_id, n, codes``: each document's ids, with ``end`` appended, as a segment of its own."""
+def tokenize(docs: DataFrame, path: str, cuts: np.ndarray | None = None) -> DataFrame:
+    """``doc_id, ids, part``: each document's ids as little-endian unsigned integers of the narrowest width that holds the
+    vocabulary, and the number of ``cuts`` that its doc_id reaches (null ids: none)."""
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    cuts = np.empty(0, np.int64) if cuts is None else cuts
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
-        for b in slices(batches, 4096):
-            ids, at = encode(b.column(1))
-            codes = []
-            for a, z in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-                own = ids[a:z]
-                codes.append(encode_ids(own if end is None else np.append(own, np.uint32(end))))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(at) + (end is not None), pa.int64()), pa.array(codes, pa.binary())], names=["doc_id", "n", "codes"])
+        for b in slices(batches, 1024):
+            ids = encode(b.column(1))
+            part = pa.array(np.searchsorted(cuts, b.column(0).fill_null(np.iinfo(np.int64).min).to_numpy(), "right"), pa.int32())
+            for i in range(0, b.num_rows, 512):  # an array of Spark's binary type holds 2 GB
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(i, 512), ids.slice(i, 512).cast(pa.binary()), part.slice(i, 512)], names=["doc_id", "ids", "part"])
 
-    return src.mapInArrow(run, "doc_id long, n long, codes binary")
+    return src.mapInArrow(run, "doc_id long, ids binary, part int")
 
 
 _SEGMENTS = "part int, seq int, place long, n long, doc_ids array<long>, starts array<long>, codes binary"
 
 
 def write_tokens(docs: DataFrame, path: str, end: int | None = END, segment: int = SEGMENT) -> DataFrame:
-    """Write all documents' ids in ascending doc_id order; gives the table of segments, read back from the shared folder."""
+    """Write all documents' ids, each document's followed by ``end``, in ascending doc_id order; gives the table of segments, read back from the shared folder."""
     spark = docs.sparkSession
     parts = min(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_PARTITIONS)
     # ranges come from the ids alone: sampling the tokenized rows would tokenize them twice
     cuts = docs.agg(F.percentile_approx(F.col("doc_id").cast("long"), [i / parts for i in range(1, parts)], 10000)).first()[0] if parts > 1 else None
-    cuts = sorted(set(cuts or ()))
-    part = F.coalesce(F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col("doc_id"))), F.lit(0)) if cuts else F.lit(0)
-    coded = tokenize(docs, path, end).withColumn("part", F.when(F.col("doc_id").isNull(), 0).otherwise(part).cast("int")).withColumn("h", F.xxhash64("codes"))
-    ranged = coded.repartition(parts, "part").sortWithinPartitions("part", "doc_id", "h")
+    cuts = np.array(sorted(set(cuts or ())), np.int64)
+    ranged = tokenize(docs, path, cuts).repartition(parts, "part").sortWithinPartitions("part", "doc_id", "ids")
 
     def run(batches) -> Iterator[pa.RecordBatch]:
+        kind, stop = encoder(path).kind, b""
+        if end is not None:
+            kind = kind if end <= np.iinfo(kind).max else np.dtype("<u4")
+            stop = np.array([end], kind).tobytes()
         part, seq, place, ids, starts, held, n = None, 0, 0, [], [], [], 0
 
         def out():
-            codes = encode_ids(np.concatenate(held))
+            codes = encode_ids(np.frombuffer(b"".join(held), kind))
             cols = [([part], pa.int32()), ([seq], pa.int32()), ([place], pa.int64()), ([n], pa.int64()), ([ids], pa.list_(pa.int64())), ([starts], pa.list_(pa.int64())), ([codes], pa.binary())]
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in cols], names=["part", "seq", "place", "n", "doc_ids", "starts", "codes"])
 
+        narrow = encoder(path).kind
         for b in slices(batches, 64):
             for d, c, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 if p != part:
                     if ids:
                         yield out()
                     part, seq, place, ids, starts, held, n = p, 0, 0, [], [], [], 0
-                codes = Codes(c)
                 ids.append(d)
                 starts.append(n)
-                held.append(codes.range(0, len(codes)))
-                n += len(codes)
+                held += (c if kind == narrow else np.frombuffer(c, narrow).astype(kind).tobytes(), stop)
+                n += len(c) // narrow.itemsize + (end is not None)
                 if n >= segment:
                     yield out()
                     seq, place, ids, starts, held, n = seq + 1, place + n, [], [], [], 0
         if ids:
             yield out()
 
-    return materialize(ranged.select("doc_id", "codes", "part").mapInArrow(run, _SEGMENTS), "segments")
+    return materialize(ranged.select("doc_id", "ids", "part").mapInArrow(run, _SEGMENTS), "segments")
 
 
 def read_tokens(segments: DataFrame) -> DataFrame:
@@ -276,7 +296,8 @@ def read_tokens(segments: DataFrame) -> DataFrame:
             r = b.to_pylist()[0]
             codes, starts = Codes(r["codes"]), r["starts"]
             ends = [*starts[1:], r["n"]]
-            crc = [zlib.crc32(codes.range(a, z).astype("<u4").tobytes()) for a, z in zip(starts, ends, strict=True)]
+            data = memoryview(codes.range(0, len(codes)).astype("<u4").tobytes())
+            crc = [zlib.crc32(data[4 * a : 4 * z]) for a, z in zip(starts, ends, strict=True)]
             cols = [(r["doc_ids"], pa.int64()), ([r["place"] + a for a in starts], pa.int64()), ([z - a for a, z in zip(starts, ends, strict=True)], pa.int64()), (crc, pa.int64())]
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in cols], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 

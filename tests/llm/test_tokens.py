@@ -1,4 +1,6 @@
 import hashlib
+import random
+import unicodedata
 import zlib
 
 import numpy as np
@@ -30,15 +32,32 @@ def test_codes_round_trip(chunk):
         c[len(ids)]
 
 
+def _same(e, texts):
+    got = e(pa.array(texts, pa.string())).to_pylist()
+    for t, ids in zip(texts, got, strict=True):
+        assert np.frombuffer(ids, e.kind).tolist() == e.tok.encode(t or "", add_special_tokens=False).ids, repr(t)
+
+
 def test_encoder_matches_the_library(monkeypatch):
     e = token_codes.Encoder(WORDS)
-    ids, at = e(pa.array(TEXTS))
-    for i, t in enumerate(TEXTS):
-        assert ids[at[i] : at[i + 1]].tolist() == e.tok.encode(t or "", add_special_tokens=False).ids
+    _same(e, TEXTS)
+    _same(e, [])
+    _same(e, ["İ.", "(İ)", "İ-", "aİ'b", "xİİ1"])
     monkeypatch.setattr(token_codes, "MAX_PARTS", 3)
     monkeypatch.setattr(token_codes, "MAX_RUNS", 3)
-    again, _ = e(pa.array(TEXTS))
-    assert (again == ids).all()
+    _same(e, TEXTS)
+
+
+def test_encoder_matches_the_library_over_all_scripts():
+    e, rng = token_codes.Encoder(WORDS), random.Random(3)
+    known = [chr(c) for c in range(1, 0x11000) if unicodedata.category(chr(c)) not in ("Cn", "Cs", "Co")]
+    low = [c for c in known if c < "\u0530"]
+    marks = [c for c in known if unicodedata.category(c)[0] == "M"]
+    texts = []
+    for _ in range(3000):
+        pool = rng.choice([low, low, known, marks + low[:200], list("ab1. '-AJİ\u0307\u030c")])
+        texts.append("".join(rng.choice(pool) for _ in range(rng.randint(1, 12))))
+    _same(e, texts)
 
 
 def test_written_tokens(spark):
