@@ -1,13 +1,14 @@
 """Byte-level BPE, encoding and decoding, through a global shuffle of distinct words.
 
 1. Each text is split by the pre-token pattern; a block of documents keeps the places of its pre-tokens as
-   indices into its own list of distinct words.
+   indices into its own list of distinct words. Blocks and their questions leave in one shuffle.
 2. The distinct words go, packed by hash bucket, to the task that owns the bucket; there each distinct word of
    the corpus is encoded once (merges by rank, own implementation) and its ids go back to every block that asked.
 3. Blocks put the ids in place. Decoding joins each id with its token's bytes (the vocabulary: 50,256 rows of
    fixed size, read by every task from the path given).
 
-Null texts are empty; an empty text has no ids; repeated rows each give a row; extra columns are ignored.
+Null texts are empty; an empty text has no ids; a text longer than a block is a block alone, encoded whole; repeated
+rows each give a row; an empty table gives no rows; extra columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -23,10 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from quillmill.llm.common import documents, pack_strings, text_bytes, unpack_strings
-from quillmill.llm.exchange import answer, ask, buckets_for, doc_frame, expand, resolve, squeeze
+from quillmill.llm.exchange import answer, ask_once, buckets_for, doc_frame, expand, resolve, squeeze
 
 #: Bytes of input text for each bucket of distinct words.
 PER_BUCKET = 32 << 20
+#: Characters of a block; each asks once for each of its distinct words.
+BLOCK_BYTES = 4 << 20
 # Unicode's White_Space characters.
 _WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 #: A pre-token never runs from other characters into white space, so texts can be cut before each white run.
@@ -132,7 +135,7 @@ def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN)
 
         return block
 
-    blocks, questions = ask(doc_frame(docs), make, "bpe")
+    blocks, questions = ask_once(doc_frame(docs), make, BLOCK_BYTES)
 
     def reply():
         ranks = load_ranks(path)

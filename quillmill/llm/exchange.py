@@ -6,8 +6,8 @@ first gathered in blocks of about ``BLOCK_BYTES`` of text, and each block asks f
 keys of one block and bucket travel as one packed row. A frequent key so reaches its bucket once a block, and
 buckets are as many as keep each within memory. Answers return packed in the order of the questions.
 
-All tables go through the shared folder, so a lost executor costs a re-read, and the blocks that asked are
-exactly those that are answered.
+Tables of ``ask`` go through the shared folder, so a lost executor costs a re-read, and the blocks that asked are
+exactly those that are answered; ``ask_once`` leaves that to Spark's own recovery of shuffles.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.common import materialize, slices
+from quillmill.llm.common import lean, materialize, slices
 
 BLOCK_BYTES = 2 << 20
 _TABLE = "kind int, block long, bucket int, payload binary"
@@ -39,11 +39,8 @@ def _batch(cols: list[tuple[list, pa.DataType]], names: list[str]) -> pa.RecordB
     return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in cols], names=names)
 
 
-def ask(docs: DataFrame, make: Callable, tag: str) -> tuple[DataFrame, DataFrame]:
-    """Blocks and questions. ``make()`` gives a function of (ids, texts) -> (block payload, [(bucket, payload)]).
-
-    ``docs`` has two columns, an id and the text (null: empty). A text longer than a block is a block alone.
-    """
+def _asked(docs: DataFrame, make: Callable, block_bytes: int) -> DataFrame:
+    """Rows of kind 0, a block each, and of kind 1, the keys that a block asks of a bucket."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         f, part, seq, ids, texts, held = make(), TaskContext.get().partitionId(), 0, [], [], 0
@@ -60,16 +57,36 @@ def ask(docs: DataFrame, make: Callable, tag: str) -> tuple[DataFrame, DataFrame
                 ids.append(i)
                 texts.append(raw)
                 held += len(raw)
-                if held >= BLOCK_BYTES:
+                if held >= block_bytes:
                     yield out()
                     seq, ids, texts, held = seq + 1, [], [], 0
         if ids:
             yield out()
 
-    table = materialize(docs.mapInArrow(run, _TABLE), tag, "kind")
+    return docs.mapInArrow(lean(run), _TABLE)
+
+
+def ask(docs: DataFrame, make: Callable, tag: str) -> tuple[DataFrame, DataFrame]:
+    """Blocks and questions. ``make()`` gives a function of (ids, texts) -> (block payload, [(bucket, payload)]).
+
+    ``docs`` has two columns, an id and the text (null: empty). A text longer than a block is a block alone.
+    """
+    table = materialize(_asked(docs, make, BLOCK_BYTES), tag, "kind")
     return table.where("kind = 0").select("block", "payload"), table.where("kind = 1").select("block", "bucket", "payload")
 
 
+def ask_once(docs: DataFrame, make: Callable, block_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """As :func:`ask` for blocks that are read once: no table is written. Blocks and questions leave in one shuffle, each
+    to where it will be needed, and stay there; blocks are the same whenever a lost task is run again, as their
+    documents are read by the same split. The filters hold a row number, so that they stay above the shuffle,
+    which both readers then share.
+    """
+    home = F.when(F.col("kind") == 0, F.col("block")).otherwise(-1 - F.col("bucket"))
+    table = _asked(docs, make, block_bytes).withColumn("home", home.cast("long")).repartition("home")
+    of = lambda kind: table.where((F.col("kind") == kind) | (F.monotonically_increasing_id() < 0))
+    return of(0), of(1)
+
+
 def answer(questions: DataFrame, make: Callable) -> DataFrame:
     """``make()`` gives a function of [(block, payload)], all of one bucket, -> answers in that order."""
 
@@ -78,7 +95,7 @@ def answer(questions: DataFrame, make: Callable) -> DataFrame:
         got = make()(rows)
         return pa.table({"block": pa.array([b for b, _ in rows], pa.int64()), "bucket": pa.array([table["bucket"][0].as_py()] * len(rows), pa.int32()), "answer": pa.array(got, pa.binary())})
 
-    return questions.groupBy("bucket").applyInArrow(run, _ANSWER)
+    return questions.groupBy("home" if "home" in questions.columns else "bucket").applyInArrow(run, _ANSWER)
 
 
 def resolve(blocks: DataFrame, answers: DataFrame, f: Callable, schema: str) -> DataFrame:
@@ -88,7 +105,7 @@ def resolve(blocks: DataFrame, answers: DataFrame, f: Callable, schema: str) ->
         found = dict(zip(right["bucket"].to_pylist(), right["answer"].to_pylist(), strict=True))
         return f(left["block"][0].as_py(), left["payload"][0].as_py(), found)
 
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
+    return blocks.groupBy("home" if "home" in blocks.columns else "block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
 
 
 def buckets_for(n_bytes: int, per_bucket: int) -> int:
