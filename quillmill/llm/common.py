@@ -7,6 +7,9 @@ driver, and intermediate tables go to the shared folder named by ``spark.checkpo
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -27,9 +30,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables; one of our own only where the session names none."""
+    """The shared folder for intermediate tables. A folder of our own only where the session names none and all runs in one machine's process."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = f"file://{tempfile.mkdtemp(prefix='quillmill-')}"
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
@@ -93,6 +98,24 @@ class Bounded(dict):
         return value
 
 
+def _trim() -> None:
+    """Give freed memory back: workers live on after a task, beside those of the next stage."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def lean(f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``f``, after which a worker keeps none of its memory."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from f(batches)
+        _trim()
+
+    return run
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for i in range(0, b.num_rows, rows):
@@ -115,7 +138,33 @@ def per_text(docs: DataFrame, keep: list[Column], make: Callable[[], Callable[[s
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(names))), *cols], names=[*names, *(n for n, _ in fields)])
 
     ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1]), schema])
-    return src.mapInArrow(run, ddl)
+    return src.mapInArrow(lean(run), ddl)
+
+
+def per_batch(docs: DataFrame, keep: list[Column], make: Callable[[], Callable[[list[str]], tuple]], fields: list[tuple[str, pa.DataType]], schema: str, text: str = "text") -> DataFrame:
+    """As :func:`per_text`, but the function built by ``make()`` takes some texts (null: empty) and gives a column for each field."""
+    src = docs.select(*keep, F.col(text).alias("__text"))
+    names = src.columns[:-1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        f = make()
+        for b in slices(batches):
+            got = f([t or "" for t in b.column(b.num_columns - 1).to_pylist()])
+            cols = [pa.array(g, type=t) for g, (_, t) in zip(got, fields, strict=True)]
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(names))), *cols], names=[*names, *(n for n, _ in fields)])
+
+    ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1]), schema])
+    return src.mapInArrow(lean(run), ddl)
+
+
+def in_one_task(sample: DataFrame, order: list[str], f: Callable[[Iterator[pa.RecordBatch]], bytes]) -> bytes | None:
+    """What ``f`` makes of a sample (bounded by the caller), sorted, in one task: fitting costs an executor's memory, not the driver's."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array([f(batches)], pa.binary())], names=["made"])
+
+    got = sample.repartition(1).sortWithinPartitions(*order).mapInArrow(lean(run), "made binary").collect()
+    return bytes(got[0]["made"]) if got else None
 
 
 def pack_strings(parts: list[bytes]) -> bytes:
@@ -135,6 +184,20 @@ def unpack_strings(data: bytes) -> list[bytes]:
     return out
 
 
+def row_key(*names: str) -> Column:
+    """A 128-bit key of some columns, equal only for rows equal in them (nulls tell themselves from all values)."""
+    parts = [F.coalesce(F.concat(F.octet_length(F.col(n).cast("string")).cast("string"), F.lit(":"), F.col(n).cast("string")), F.lit("-")) for n in names]
+    return F.unhex(F.md5(F.concat(*parts)))
+
+
+def spare_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` hasn't."""
+    low = {c.lower() for c in df.columns}
+    while f"__{name}" in low:
+        name += "_"
+    return f"__{name}"
+
+
 def unsigned_hash(*cols: Column, seed: str = "") -> Column:
     """A uniform double in [0, 1) from a stable 64-bit hash."""
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *cols), 11) / F.lit(float(1 << 53))

@@ -1,138 +1,189 @@
-"""Toxicity by class-conditional Kneser-Ney models.
+"""Toxicity by class-conditional Kneser-Ney models that share their backoff counts.
 
-Two models, toxic and ordinary, spell words character by character. Orders ``TOP`` to ``LOW + 1`` hold counts of
-their own class (token counts at the top, numbers of distinct left contexts below); orders ``LOW`` and less are
-backoff counts shared by both classes, so that a rare expression no class has seen costs both the same, and one
-that shares its beginning with toxic expressions leans towards them.
+Two models, toxic and ordinary, spell words character by character (words stand after ``TOP - 1`` marks, so that every
+character has a whole context, and before one). Each class has counts of its own at orders ``TOP`` down to ``LOW + 1``: of
+occurrences at the top, below it Kneser-Ney continuation counts, numbers of distinct left neighbours. Orders ``LOW`` and less
+are continuation counts over both classes together, and all backoff ends there. A character whose context neither class has
+met so costs both the same, and a rare expression leans towards toxic by the stretches over ``LOW`` characters that it shares
+with toxic ones.
 
-A word's log-likelihood ratio is worked out once for each distinct word a task meets. A document is judged by
-length-normalised ratios: over the whole text, and over its most toxic stretches of ``SPANS`` words, so that a
-long text with one toxic passage isn't washed out. Runs of letters over ``PIECE`` characters, as unspaced scripts have,
-count as several words, in training as in scoring. A logistic curve, fitted on out-of-fold ratios, turns the
-three into a score from 0 to 1.
+A document is judged by log P(text | toxic) - log P(text | ordinary) a character: of the whole text, and of its most
+toxic stretches of ``SPANS`` words, so that a long text with one toxic passage isn't washed out. A logistic curve,
+fitted on out-of-fold ratios, turns the three ratios into a score from 0 to 1. Runs of letters over ``PIECE``
+characters, as unspaced scripts have, count as several words, each character scored once and in its own context.
 
-The models are fitted on a bounded sample of labelled rows: for each class the ``MAX_DOCS`` rows of lowest hash,
-whole texts, until ``MAX_CHARS`` characters are read. Scoring sees every row and every whole text.
+The models are fitted on a bounded sample of labelled rows: for each class, of the ``MAX_DOCS`` rows of lowest hash, those
+whose whole texts fit in ``MAX_CHARS`` characters. That is done in one task; the driver sees the finished tables only.
+Scoring sees every row and every character.
 
 Defined results: null or wordless texts have ratios 0 and get the curve's value there, as any neutral text;
-without labelled rows of both classes every score is 0; labels null in either column are ignored; rows that
-repeat are scored alike; extra columns are ignored.
+without labelled rows of both classes every score is 0; labels null in either column are ignored, of several labels of
+one document the toxic one counts; rows that repeat are scored alike; long texts are scored whole; an empty table
+gives an empty result; extra columns are ignored by ``score`` and kept, whatever their names, by ``drop_toxic``.
 """
 
 from __future__ import annotations
 
 import math
+import pickle
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.common import Bounded, documents, fold, per_text
+from quillmill.llm.common import documents, fold, in_one_task, lean, per_batch, slices
 
-TOP, LOW = 6, 1
+TOP, LOW = 6, 2
 SPANS = (3, 12)
 #: The bound of the sample that the classifier is fitted on, for each class.
-MAX_DOCS, MAX_CHARS = 3000, 12_000_000
+MAX_DOCS, MAX_CHARS = 3000, 6_000_000
 _LETTERS = re.compile(r"\w+")
-#: Longer words are judged in pieces, of which neighbours share all but one character of a gram.
-PIECE = 64
+#: Longer words are judged in pieces of so many characters, about as long as words are.
+PIECE = 16
+_PAD, _STOP, _CUT = "^", "$", "\0"
+_CACHE = 200_000
+
+
+def _spelt(word: str) -> str:
+    """A word as it is spelt: its scored characters are those after the first ``TOP - 1``."""
+    return word[1:] if word[0] == _CUT else _PAD * (TOP - 1) + word + _STOP
 
 
 def words_of(text: str) -> list[str]:
-    """Lower-case words, those over ``PIECE`` characters as overlapping pieces that hold every gram of theirs."""
+    """Lower-case words; of those over ``PIECE`` characters, pieces spelt out, each after the characters it follows."""
     words = _LETTERS.findall(text.lower())
     if not words or max(map(len, words)) <= PIECE:
         return words
-    step = PIECE - TOP + 1
-    return [w[i : i + PIECE] for w in words for i in range(0, max(1, len(w) - TOP + 1), step)]
-
-
-def _grams(words: Counter[str]) -> list[Counter[str]]:
-    """For each order n, counts of n-grams of the padded words: occurrences at the top order and at a word's start
-    (nothing stands left of it), elsewhere the number of distinct characters to the left, taken from the order above."""
-    grams: list[Counter[str]] = [Counter() for _ in range(TOP + 1)]
-    for w, c in words.items():
-        s = f"^{w}$"
-        for n in range(2, min(TOP, len(s) + 1)):
-            grams[n][s[:n]] += c
-        for i in range(len(s) - TOP + 1):
-            grams[TOP][s[i : i + TOP]] += c
-    for n in range(TOP, 1, -1):
-        below = grams[n - 1]
-        for g in grams[n]:
-            below[g[1:]] += 1
-    return grams
-
-
-def _tables(grams: list[Counter[str]], orders: range, logs: dict[str, float], back: dict[str, float]) -> None:
-    """Add these orders' interpolated log-probabilities, and of each context the log of the mass that its discount frees."""
-    for n in orders:
-        counts = grams[n]
-        ones, twos = (sum(1 for v in counts.values() if v == k) for k in (1, 2))
-        d = min(0.95, max(0.1, ones / (ones + 2 * twos))) if ones else 0.5
-        total, kinds = Counter(), Counter()
-        for g, c in counts.items():
-            total[g[:-1]] += c
-            kinds[g[:-1]] += 1
-        for ctx, t in total.items():
-            back[ctx] = math.log(d * kinds[ctx] / t)
-        for g, c in counts.items():
-            ctx = g[:-1]
-            logs[g] = math.log((c - d) / total[ctx] + math.exp(back[ctx] + _log(g[1:], logs, back)))
-
-
-def _log(gram: str, logs: dict[str, float], back: dict[str, float]) -> float:
-    """Of a gram's last character after the others: at the longest order seen, after the backoffs on the way."""
-    out = 0.0
-    while gram not in logs:
-        out += back.get(gram[:-1], 0.0)
-        gram = gram[1:]
-    return out + logs[gram]
+    out = []
+    for w in words:
+        if len(w) <= PIECE:
+            out.append(w)
+        else:
+            whole = _spelt(w)
+            out += [_CUT + whole[i : i + PIECE + TOP - 1] for i in range(0, len(whole) - TOP + 1, PIECE)]
+    return out
+
+
+def _hashes(codes: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
+    """A 64-bit hash of the n characters up to each end."""
+    h = np.full(len(ends), 0x9E3779B97F4A7C15 + n, np.uint64)
+    with np.errstate(over="ignore"):
+        for j in range(n - 1, -1, -1):
+            h = (h ^ codes[ends - j]) * np.uint64(0xFF51AFD7ED558CCD)
+            h ^= h >> np.uint64(32)
+    return h
+
+
+def _spread(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of all words as spelt, the places of the scored characters, and whose they are."""
+    spelt = [*map(_spelt, words)]
+    codes = np.frombuffer("".join(spelt).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    size = np.fromiter(map(len, spelt), np.int64, len(spelt))
+    start, scored = np.cumsum(size) - size, size - TOP + 1
+    whose = np.repeat(np.arange(len(words)), scored)
+    ends = np.arange(len(whose)) - np.repeat(np.cumsum(scored) - scored, scored) + start[whose] + TOP - 1
+    return codes, ends, whose
+
+
+def _discount(counts: np.ndarray) -> float:
+    ones, twos = int((counts == 1).sum()), int((counts == 2).sum())
+    return min(0.95, max(0.1, ones / (ones + 2 * twos))) if ones else 0.5
+
+
+def _look_up(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the wanted keys among sorted ones, and whether they are there."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
 
 
 class Models:
-    """Both classes' models; ``ratio(word)`` is log P(word | toxic) - log P(word | ordinary)."""
+    """Both classes' models, by order from the top: the log-likelihood ratios of the grams that either class has met, and
+    of their contexts the ratio of the mass left to every other character. The shared backoff cancels in ratios."""
 
     def __init__(self, toxic: Counter[str], ordinary: Counter[str]) -> None:
-        base: dict[str, float] = {"": -math.log(max(64, len({ch for w in (toxic, ordinary) for x in w for ch in x}) + 1))}
-        freed: dict[str, float] = {}
-        _tables(_grams(toxic + ordinary), range(1, LOW + 1), base, freed)
-        self.classes = []
-        for words in (toxic, ordinary):
-            logs, back = dict(base), dict(freed)
-            _tables(_grams(words), range(LOW + 1, TOP + 1), logs, back)
-            self.classes.append((logs, back))
-
-    def ratio(self, word: str) -> float:
-        s = f"^{word}$"
-        (tl, tb), (ol, ob) = self.classes
-        total = 0.0
-        for i in range(2, len(s) + 1):
-            g = s[max(0, i - TOP) : i]
-            total += (tl[g] if g in tl else _log(g, tl, tb)) - (ol[g] if g in ol else _log(g, ol, ob))
-        return total
-
-
-def features(ratios: np.ndarray) -> tuple[float, ...]:
-    """Length-normalised: mean of the text, and the best mean of each span."""
+        words = [*(toxic | ordinary)]
+        codes, ends, whose = _spread(words)
+        grams, at, of = np.unique(_hashes(codes, ends, TOP), return_index=True, return_inverse=True)
+        count = [np.bincount(of, np.array([c[w] for w in words], float)[whose], len(grams)) for c in (toxic, ordinary)]
+        ends, orders = ends[at], []
+        for n in range(TOP, 0, -1):
+            contexts, ctx = np.unique(_hashes(codes, ends - 1, n - 1), return_inverse=True)
+            shorter, at, of = np.unique(_hashes(codes, ends, n - 1), return_index=True, return_inverse=True)
+            orders.append((n, grams, contexts, ctx, count, of))
+            # of each gram one shorter, how many distinct ones end in it
+            count = [np.bincount(of, c > 0, len(shorter)) for c in count] if n - 1 > LOW else [np.bincount(of, None, len(shorter)).astype(float)]
+            grams, ends = shorter, ends[at]
+        p = [np.full(1, 1.0 / max(64, len(orders[-1][1]) + 1))]  # below all orders, every character alike
+        self.tables = []
+        for n, grams, contexts, ctx, count, of in reversed(orders):
+            if len(p) < len(count):
+                p = p * 2  # from here on each class has its own
+            d, free, now = _discount(np.concatenate(count)), [], []
+            for c, lower in zip(count, p, strict=True):
+                total, kinds = np.bincount(ctx, c), np.bincount(ctx, c > 0)
+                met = total > 0
+                free.append(np.where(met, d * kinds / np.maximum(total, 1), 1.0))
+                now.append(np.where(met[ctx], np.maximum(c - d, 0) / np.maximum(total, 1)[ctx], 0.0) + free[-1][ctx] * lower[of])
+            p = now
+            if n > LOW:
+                self.tables.append((n, grams, (np.log(p[0]) - np.log(p[1])).astype(np.float32), contexts, (np.log(free[0]) - np.log(free[1])).astype(np.float32)))
+        self.tables.reverse()
+
+    def ratios(self, words: list[str]) -> np.ndarray:
+        """log P(word | toxic) - log P(word | ordinary) of each word."""
+        if not words:
+            return np.empty(0)
+        codes, ends, whose = _spread(words)
+        out = np.zeros(len(words))
+        for n, grams, gram_ratio, contexts, context_ratio in self.tables:
+            c, known = _look_up(contexts, _hashes(codes, ends - 1, n - 1))
+            g, met = np.zeros(len(ends), np.int64), known.copy()
+            g[known], met[known] = _look_up(grams, _hashes(codes, ends[known], n))  # a gram met has its context met
+            out += np.bincount(whose, np.where(met, gram_ratio[g] if len(grams) else 0.0, np.where(known, context_ratio[c] if len(contexts) else 0.0, 0.0)), len(words))
+            ends, whose = ends[~met], whose[~met]  # the others go on to the next order
+        return out
+
+
+def features(ratios: np.ndarray, sizes: np.ndarray) -> tuple[float, ...]:
+    """Ratios a character: of the whole text, and the best of each span of words."""
     if not len(ratios):
         return (0.0,) * (1 + len(SPANS))
-    sums = np.r_[0.0, np.cumsum(ratios)]
+    sums, chars = np.r_[0.0, np.cumsum(ratios)], np.r_[0, np.cumsum(sizes)]
     best = []
     for n in SPANS:
         n = min(n, len(ratios))
-        best.append(float((sums[n:] - sums[:-n]).max()) / n)
-    return (float(sums[-1]) / len(ratios), *best)
-
-
-def _featurizer(models: Models):
-    cache = Bounded(models.ratio, 1_000_000)
-
-    def of(text: str) -> tuple[float, ...]:
-        return features(np.array([*map(cache.__getitem__, words_of(text))], float))
+        best.append(float(((sums[n:] - sums[:-n]) / (chars[n:] - chars[:-n])).max()))
+    return (float(sums[-1] / chars[-1]), *best)
+
+
+def featurizer(models: Models):
+    """Texts to rows of features; ratios of words met are held in a bounded cache."""
+    cache: dict[str, float] = {}
+
+    def of(texts: list[str]) -> np.ndarray:
+        split = [*map(words_of, texts)]
+        distinct = set().union(*split)
+        if len(cache) + len(distinct) > _CACHE:
+            cache.clear()
+        new = [w for w in distinct if w not in cache]
+        for i in range(0, len(new), 50_000):
+            some = new[i : i + 50_000]
+            cache.update(zip(some, models.ratios(some).tolist(), strict=True))
+        out = np.zeros((len(texts), 1 + len(SPANS)))
+        for i, words in enumerate(split):
+            if words:
+                size = np.fromiter(map(len, words), np.int64, len(words))
+                if size.max() > PIECE:  # some are pieces
+                    size = np.array([len(w) + 1 if w[0] != _CUT else len(w) - TOP for w in words])
+                else:
+                    size += 1
+                out[i] = features(np.fromiter(map(cache.__getitem__, words), float, len(words)), size)
+        return out
 
     return of
 
@@ -155,66 +206,86 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50
 
 
 class Classifier:
+    """Of (text, label) rows: models of one half judge the other, the curve is fitted on that, then models of all rows are kept."""
+
     def __init__(self, rows: list[tuple[str, int]]) -> None:
         self.models = self.curve = None
-        if len({y for _, y in rows}) < 2:
+        y = np.array([r[1] for r in rows], float)
+        if len(set(y.tolist())) < 2:
             return
-        words = [Counter(words_of(t)) for t, _ in rows]
-
-        def summed(keep):
-            out = [Counter(), Counter()]
-            for i, c in enumerate(words):
-                if keep(i):
-                    out[1 - rows[i][1]].update(c)
-            return out
-
+        # halves by turns within each class, so that each half has both where it can
+        half = np.zeros(len(rows), int)
+        for label in (0, 1):
+            at = np.flatnonzero(y == label)
+            half[at] = np.arange(len(at)) % 2
+        words = [[Counter(), Counter()], [Counter(), Counter()]]
+        for (text, label), h in zip(rows, half.tolist(), strict=True):
+            words[h][1 - label].update(words_of(text))
         x = np.zeros((len(rows), 1 + len(SPANS)))
-        for f in range(2):
-            of = _featurizer(Models(*summed(lambda i, f=f: i % 2 != f)))
-            for i in range(f, len(rows), 2):
-                x[i] = of(rows[i][0])
-        self.models = Models(*summed(lambda i: True))
-        self.curve = _logistic(x, np.array([y for _, y in rows], float))
+        for h in (0, 1):
+            of = featurizer(Models(*words[1 - h]))
+            at = np.flatnonzero(half == h).tolist()
+            for i in range(0, len(at), 256):
+                x[at[i : i + 256]] = of([rows[k][0] for k in at[i : i + 256]])
+            del of
+        for a, b in zip(*words, strict=True):
+            a.update(b)
+            b.clear()
+        self.models = Models(*words[0])
+        self.curve = _logistic(x, y)
 
     def scorer(self):
+        """Texts to (scores, predictions)."""
         if self.models is None:
-            return lambda text: (0.0, 0)
-        of, (w, mid, wide) = _featurizer(self.models), self.curve
+            return lambda texts: (np.zeros(len(texts)), np.zeros(len(texts), np.int32))
+        of, (w, mid, wide) = featurizer(self.models), self.curve
 
-        def one(text: str) -> tuple[float, int]:
-            z = float(w[0] + ((np.array(of(text)) - mid) / wide) @ w[1:])
-            p = 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
-            return p, int(p >= 0.5)
+        def some(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            z = w[0] + ((of(texts) - mid) / wide) @ w[1:]
+            p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+            return p, (p >= 0.5).astype(np.int32)
 
-        return one
+        return some
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_chars: int = MAX_CHARS) -> Classifier:
     """Fit on labelled rows outside the held-out fold. Which rows: by hash of the id; the ids of the sample are broadcast (at most 2 x ``max_docs``)."""
     known = labels.where("doc_id is not null and toxic in (0, 1)").where(fold(F.col("doc_id"), 5) != 0)
-    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumn("h", F.xxhash64("doc_id"))
+    known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).withColumn("h", F.xxhash64("doc_id"))
     picked = [known.where(F.col("toxic") == y).orderBy("h", "doc_id").limit(max_docs) for y in (1, 0)]
     sample = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id")
-    rows, read = [], [0, 0]
-    for r in sample.select("toxic", "text", "h", "doc_id").sort("h", "doc_id", "text").toLocalIterator():
-        if read[r["toxic"]] < max_chars:
-            read[r["toxic"]] += len(r["text"])
-            rows.append((r["text"], int(r["toxic"])))
-    return Classifier(rows)
+    sample = sample.where(F.length("text") <= max_chars).select("toxic", "text", "h", "doc_id")
+
+    def run(batches) -> bytes:
+        rows, read = [], [0, 0]
+        for b in batches:
+            for y, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if read[y] + len(text) <= max_chars:
+                    read[y] += len(text)
+                    rows.append((text, y))
+        return pickle.dumps(Classifier(rows))
+
+    return pickle.loads(in_one_task(sample, ["h", "doc_id", "text"], run) or pickle.dumps(Classifier([])))
 
 
 def score(docs: DataFrame, classifier: Classifier) -> DataFrame:
     """``doc_id, score, predicted`` of every row."""
-    held = docs.sparkSession.sparkContext.broadcast(classifier)  # bounded by the sample it was fitted on
-    return per_text(docs, [F.col("doc_id")], lambda: held.value.scorer(), [("score", pa.float64()), ("predicted", pa.int32())], "score double, predicted int")
+    held = docs.sparkSession.sparkContext.broadcast(classifier)  # two tables, bounded by the sample they were fitted on
+    return per_batch(docs, [F.col("doc_id")], lambda: held.value.scorer(), [("score", pa.float64()), ("predicted", pa.int32())], "score double, predicted int")
 
 
 def drop_toxic(docs: DataFrame, classifier: Classifier) -> DataFrame:
     """``docs`` without the rows that are predicted toxic."""
     held = docs.sparkSession.sparkContext.broadcast(classifier)
-    names = docs.columns
-    scored = per_text(docs, [F.col(c) for c in names], lambda: held.value.scorer(), [("__score", pa.float64()), ("__toxic", pa.int32())], "__score double, __toxic int")
-    return scored.where("__toxic = 0").select(*names)
+    at = docs.columns.index("text")
+
+    def run(batches):
+        judge = held.value.scorer()
+        for b in slices(batches):
+            _, toxic = judge([t or "" for t in b.column(at).to_pylist()])
+            yield b.filter(pa.array(toxic == 0))
+
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def op2_toxicity(spark, sf_dir: str) -> DataFrame:

@@ -134,24 +134,29 @@ def test_toxicity():
     toxic = [(words(rng, 60) + f" grumpf{rng.choice('abcdef')} " + words(rng, 60), 1) for _ in range(60)]
     c = toxicity.Classifier(clean + toxic)
     f = c.scorer()
-    assert all(f(words(rng, 100))[1] == 0 for _ in range(30))
-    assert all(f(words(rng, 300) + " grumpfz " + words(rng, 10))[1] == 1 for _ in range(20))
-    assert 0 <= f("")[0] < 0.5
-    assert toxicity.Classifier([("only", 0)]).scorer()("grumpf") == (0.0, 0)
-    assert toxicity.Classifier([]).scorer()("x") == (0.0, 0)
+    assert not f([words(rng, 100) for _ in range(30)])[1].any()
+    assert f([words(rng, 300) + " grumpfz " + words(rng, 10) for _ in range(20)])[1].all()
+    assert 0 <= f([""])[0][0] < 0.5
+    for few in ([("only", 0)], []):
+        scores, predicted = toxicity.Classifier(few).scorer()(["grumpf", ""])
+        assert scores.tolist() == [0, 0]
+        assert predicted.tolist() == [0, 0]
 
 
 def test_toxicity_in_unspaced_text():
     rng = random.Random(9)
     run = lambda n: words(rng, n).replace(" ", "")
     f = toxicity.Classifier([(run(60), 0) for _ in range(150)] + [(run(40) + "grumpf" + rng.choice("abcdef") + run(40), 1) for _ in range(60)]).scorer()
-    assert sum(f(run(60) + "grumpfa" + run(20))[1] for _ in range(20)) >= 19
-    assert sum(f(run(80))[1] for _ in range(30)) <= 1
-    for n in (0, 1, 63, 64, 65, 69, 70, 123, 124, 500):
+    assert f([run(60) + "grumpfa" + run(20) for _ in range(20)])[1].sum() >= 19
+    assert f([run(80) for _ in range(30)])[1].sum() <= 1
+    assert f(["x" * 100_000 + "grumpfa" + "y" * 100_000])[1][0] == 1
+    pad, top = "^" * (toxicity.TOP - 1), toxicity.TOP
+    for n in (1, 63, 64, 65, 69, 70, 123, 124, 500):
         w = "".join(rng.choice("abcd") for _ in range(n))
-        p = toxicity.words_of(w)
-        assert {x[i : i + 6] for x in p for i in range(len(x) - 5)} == {w[i : i + 6] for i in range(n - 5)}
-        assert "".join([*p[:1], *(x[5:] for x in p[1:])]) == w
+        spelt = [toxicity._spelt(x) for x in toxicity.words_of(w)]
+        grams = [s[i - top + 1 : i + 1] for s in spelt for i in range(top - 1, len(s))]
+        whole = f"{pad}{w}$"
+        assert grams == [whole[i - top + 1 : i + 1] for i in range(top - 1, len(whole))]
 
 
 def test_toxicity_table(spark):
