@@ -8,11 +8,13 @@
    ``r`` of a source takes block ``r mod n_blocks`` (pass ``r div n_blocks``); the last one is cut to the target.
 4. A document has taken the words by which its interval of the stream overlaps the blocks taken.
 
-Rankings and stream offsets are two-level prefix sums (within small chunks, then over chunk totals), so a
-source that holds a third of all rows is never in one task. Only ids and sizes are shuffled, never texts.
+Rankings and stream offsets are two-level prefix sums: within chunks of about a thousand rows, then over the chunks'
+totals, so that of a source that holds a third of all rows only a thousandth as many totals meet in one task. Texts are
+read once, for their sizes, which are written as a table; only ids and sizes are shuffled.
 
 Defined results: null source is a source of its own, last in order; null or wordless text has size 0 and takes
-0; repeated rows are documents of their own; an empty table gives an empty result; other columns are ignored.
+0; long texts are counted whole; repeated rows are documents of their own; an empty table gives an empty result; other
+columns, whatever their names, are ignored by ``mix`` and kept by ``mixed``.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillmill.llm.common import WORD, documents, unsigned_hash
+from quillmill.llm.common import WORD, documents, materialize, row_key, spare_name, unsigned_hash
 
 GOLDEN = (math.sqrt(5) - 1) / 2
 #: Words in a block.
@@ -112,8 +114,11 @@ def _streams(docs: DataFrame, plan: DataFrame, seed: str) -> DataFrame:
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), volume: float = 1.5, passes: int = 2, block: int = BLOCK, seed: str = "mix") -> DataFrame:
     """``doc_id, size, source_size, target, taken`` for every row of ``docs`` (doc_id, source, text)."""
-    d = docs.select("doc_id", "source", F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
-    return mix_sizes(d, weights, volume, passes, block, seed)
+    return mix_sizes(materialize(docs.select("doc_id", "source", _size().alias("size")), "sizes"), weights, volume, passes, block, seed)
+
+
+def _size():
+    return F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
 
 
 def mix_sizes(sized: DataFrame, weights: tuple[float, ...] = (5, 2, 1), volume: float = 1.5, passes: int = 2, block: int = BLOCK, seed: str = "mix") -> DataFrame:
@@ -140,11 +145,25 @@ def mix_sizes(sized: DataFrame, weights: tuple[float, ...] = (5, 2, 1), volume:
 
 
 def mixed(docs: DataFrame, **how) -> DataFrame:
-    """The mix as documents: each row of ``docs`` as often as the mix takes its words, to the nearest whole time."""
-    taken = mix(docs, **how).groupBy("doc_id").agg(F.sum("taken").alias("__taken"), F.sum("size").alias("__size"))
-    times = F.round(F.col("__taken") / F.greatest(F.col("__size"), F.lit(1))).cast("int")
-    plan = taken.select(F.col("doc_id").alias("__id"), times.alias("__times")).where("__times > 0")
-    return docs.join(plan, docs["doc_id"].eqNullSafe(plan["__id"])).withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*docs.columns)
+    """The mix as documents: each row of ``docs`` as often as the mix takes all its words, and, where the mix takes some of them
+    once more, those: its first words, joined by one space. That is one document a source, the one at the end of its target.
+
+    Documents without words stay, once: they weigh nothing. Identical rows share what they take.
+    """
+    key, t, n, k = (spare_name(docs, x) for x in ("key", "taken", "rows", "copy"))
+    keyed = docs.withColumn(key, row_key("doc_id", "source", "text"))
+    sized = materialize(keyed.select(F.col(key).alias("doc_id"), "source", _size().alias("size")), "sizes")
+    taken = mix_sizes(sized, **how).groupBy("doc_id").agg(F.sum("taken").alias("t"), F.max("size").alias("size"), F.count(F.lit(1)).alias("n"))
+    # copies by their number of words; rows of one key are told apart by nothing, so all their copies are made of one of them
+    size = F.greatest("size", F.lit(1))
+    whole = F.array_repeat("size", F.expr("cast(t div greatest(size, 1) as int)"))
+    copies = F.when(F.col("size") == 0, F.array_repeat("size", F.col("n").cast("int"))).otherwise(F.concat(whole, F.when(F.col("t") % size > 0, F.array(F.col("t") % size)).otherwise(F.array().cast("array<long>"))))
+    plan = materialize(taken.select(F.col("doc_id").alias(key), copies.alias(t), F.col("n").alias(n), F.col("size").alias(k)), "copies").where(F.size(t) > 0)
+    single = keyed.join(plan.where(F.col(n) == 1), key)
+    double = keyed.join(plan.where(F.col(n) > 1), key).dropDuplicates([key])
+    out = single.unionByName(double).withColumn(t, F.explode(t))
+    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)), F.lit(1), F.col(t).cast("int")), " ")
+    return out.withColumn("text", F.when(F.col(t) < F.col(k), cut).otherwise(F.col("text"))).select(*docs.columns)
 
 
 def op1_mix(spark, sf_dir: str) -> DataFrame:
