@@ -9,8 +9,11 @@ language, or ``SIZE`` where the language lacks it.
 Profiles are learnt on a bounded sample: of each language the ``MAX_DOCS`` documents of lowest hash outside the
 held-out fold, whole texts, until ``MAX_CHARS`` characters are read. Predictions read every row's whole text.
 
+Letters are those of Unicode's letter categories: numerals such as one half or a Roman seven are none.
+
 Defined results: null texts and texts without a letter are ``und`` with score 0; ties between languages go to
-the first by name; nothing to learn from: every text is ``und``; repeated rows get equal results.
+the first by name; nothing to learn from: every text is ``und``; repeated rows get equal results; long texts are read
+whole; an empty table gives no rows; extra columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +31,17 @@ from quillmill.llm.common import Bounded, documents, fold, per_text, unsigned_ha
 SIZE, LONGEST = 400, 3
 #: The bound of the sample that profiles are learnt from, for each language; and of languages.
 MAX_DOCS, MAX_CHARS, MAX_LANGS = 500, 2_000_000, 1000
-_LETTERS = re.compile(r"[^\W\d_]+")
+_WORD = re.compile(r"[^\W\d_]+")
+
+
+def letters_of(text: str) -> Counter[str]:
+    """Runs of letters in lower case, with how often they occur."""
+    found = Counter(_WORD.findall(text.lower()))
+    for w in [w for w in found if not w.isalpha()]:  # the pattern lets letter-like numerals through
+        n = found.pop(w)
+        for part in "".join(c if c.isalpha() else " " for c in w).split():
+            found[part] += n
+    return found
 
 
 def grams(word: str) -> list[str]:
@@ -87,7 +100,7 @@ class Identifier:
                 del names[known:]
                 number.clear()
                 number.update((g, i) for i, g in enumerate(names))
-            words = Counter(_LETTERS.findall((text or "").lower()))
+            words = letters_of(text or "")
             parts = [cache[w] for w in words]
             ids = np.concatenate(parts) if parts else empty
             if not len(ids):
@@ -127,7 +140,7 @@ def learn(docs: DataFrame, max_docs: int = MAX_DOCS, max_chars: int = MAX_CHARS)
     for r in ranked.select("lang", "text", "k").sort("lang", "k").toLocalIterator():
         if read[r["lang"]] < max_chars:
             read[r["lang"]] += len(r["text"])
-            words.setdefault(r["lang"], Counter()).update(_LETTERS.findall(r["text"].lower()))
+            words.setdefault(r["lang"], Counter()).update(letters_of(r["text"]))
     return Identifier({k: p for k, c in words.items() if (p := profile(c))})
 
 

@@ -16,7 +16,8 @@
 With 32 bands of 4 a pair at the threshold itself is missed with probability 5e-6; confirmed links are exact.
 
 Defined results: a text with fewer words than a shingle is one shingle; null or wordless texts have the empty
-set, link with nothing and are kept; repeated rows get equal results; a class's id is its least non-null doc_id.
+set, link with nothing and are kept; repeated rows get equal results; a class's id is its least non-null doc_id; long texts are
+read whole; an empty table gives no rows; extra columns, whatever their names, are ignored, and kept by ``drop_near_duplicates``.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.common import documents, materialize, slices
+from quillmill.llm.common import documents, lean, materialize, row_key, slices, spare_name
 from quillmill.llm.components import connected_components
 
 WORDS, HASHES, ROWS, BANDS = 5, 64, 4, 32
@@ -110,12 +111,12 @@ def digest(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
-_SETS = "doc_id long, row long, n_shingles long, node binary, bands array<long>, s1 long, s2 long"
+_SETS = "doc_id long, row binary, n_shingles long, node binary, bands array<long>, s1 long, s2 long"
 
 
 def sets_of(docs: DataFrame) -> DataFrame:
     """A row per document: its row key, set size, digest of the set, band keys and sketch."""
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _row(F.col("doc_id").cast("long"), F.col("text")).alias("row"), "text")
+    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key("doc_id", "text").alias("row"), "text")
 
     def run(batches):
         for b in slices(batches, 2048):
@@ -134,11 +135,7 @@ def sets_of(docs: DataFrame) -> DataFrame:
             cols = [(list(map(len, sets)), pa.int64()), (node, pa.binary()), (bands, pa.list_(pa.int64())), ([x for x, _ in sk], pa.int64()), ([x for _, x in sk], pa.int64())]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(v, t) for v, t in cols)], names=["doc_id", "row", "n_shingles", "node", "bands", "s1", "s2"])
 
-    return src.mapInArrow(run, _SETS)
-
-
-def _row(doc_id: Column, text: Column) -> Column:
-    return F.xxhash64(doc_id, text)
+    return src.mapInArrow(lean(run), _SETS)
 
 
 def _plausible(a: str, b: str) -> Column:
@@ -150,7 +147,7 @@ def _plausible(a: str, b: str) -> Column:
 def _texts(nodes: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """``node, text``: one text of each class."""
     need = nodes.join(classes.select("node", "row"), "node")
-    return docs.select(_row(F.col("doc_id").cast("long"), F.col("text")).alias("row"), "text").join(need, "row").dropDuplicates(["node"]).select("node", "text")
+    return docs.select(row_key("doc_id", "text").alias("row"), "text").join(need, "row").dropDuplicates(["node"]).select("node", "text")
 
 
 class _Forest:
@@ -263,7 +260,7 @@ def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
                     vs.append(n)
             yield pa.RecordBatch.from_arrays([pa.array(us, pa.binary()), pa.array(vs, pa.binary())], names=["u", "v"])
 
-    return dealt.mapInArrow(run, "u binary, v binary")
+    return dealt.mapInArrow(lean(run), "u binary, v binary")
 
 
 def _clusters(docs: DataFrame) -> DataFrame:
@@ -305,11 +302,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each component: of least doc_id (nulls last). Texts without words all stay, identical rows once."""
-    got = _clusters(docs)
+    got, key = _clusters(docs), spare_name(docs, "row")
     best = got.where("node is not null").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("b"))
-    rows = best.select(F.col("b.row").alias("__row")).unionByName(got.where("node is null").select(F.col("row").alias("__row")))
-    keyed = docs.withColumn("__row", _row(F.col("doc_id").cast("long"), F.col("text")))
-    return keyed.join(rows, "__row", "left_semi").dropDuplicates(["__row"]).select(*docs.columns)
+    rows = best.select(F.col("b.row").alias(key)).unionByName(got.where("node is null").select(F.col("row").alias(key)))
+    return docs.withColumn(key, row_key("doc_id", "text")).join(rows, key, "left_semi").dropDuplicates([key]).select(*docs.columns)
 
 
 def op9_near_dedup(spark, sf_dir: str) -> DataFrame:

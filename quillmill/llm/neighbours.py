@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillmill.llm.common import lean
+
 SHARD, LEAF, BLOCK, K, RELAX = 8192, 256, 1024, 20, 1.0
 
 
@@ -188,7 +190,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, relax: float = RE
                 cols = list(zip(*rows, strict=True)) if rows else [(), (), ()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["query_id", "vec_id", "score"])
 
-    found = meet.select("d", "xi", "xv", "qi", "qv").mapInArrow(run, "query_id long, vec_id long, score double")
+    found = meet.select("d", "xi", "xv", "qi", "qv").mapInArrow(lean(run), "query_id long, vec_id long, score double")
     # a query has at most k rows of each shard
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

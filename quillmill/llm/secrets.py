@@ -3,23 +3,29 @@
 Tokens are the parts of a text between white space, tagged secret-begin, secret-inside or outside. A token's
 scores come from its shape (lengths, character classes, entropy, marks, key words), the shapes of its two
 neighbours, and features of the file; transitions link tags. Decoding is Viterbi: where a token's outside score
-leads by more than any two transitions can make up for, the best path passes through outside, so the chain is
-cut there and only the short stretches between are walked. Scores are worked out once for each distinct token
-of a batch.
-
-The field is trained on a bounded sample: the ``MAX_DOCS`` documents of lowest hash, their tokens under matches of
-the patterns as positives. Scanning reads every row's whole text. A span of the field that touches one of the
-patterns adds nothing; the patterns' own spans always stay.
-
-Defined results: null texts are empty and have no spans; repeated rows get equal results; an empty table, or a
-sample without a match, leaves the patterns alone.
+leads by more than any neighbours' transitions can make up for, the best path passes through outside, so the chain is
+cut there and only the stretches between are walked. Scores are worked out once for each distinct token of a batch.
+
+The field learns from the patterns' matches in a bounded sample: whole texts of the ``MAX_DOCS`` documents of lowest hash, as
+many as fit in ``MAX_CHARS``. Windows about every match are positives; of tokens outside, per text ``ODD`` odd-looking ones and
+one of any kind, by hash, and of all those at most ``PER_MATCH`` a match. Each positive is learnt three times: as it stands, with
+the marks that the patterns look for (key words, the access prefix) hidden, and hidden with its characters drawn anew (seeded)
+from other alphabets and lengths, so that the field knows secrets by shape and surroundings and finds forms that no pattern has. Scanning reads every row's whole text. A span of the field that
+touches one of the patterns adds nothing; the patterns' own spans always stay.
+
+Defined results: null texts are empty and have no spans; long texts are scanned whole; repeated rows get equal results; an
+empty table, or a sample without a match, leaves the patterns alone; extra columns are ignored by the query and kept by
+``redact``; a column to keep that is called ``spans`` is refused by ``scan``.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+import pickle
+import random
 import re
+import string
 import zlib
 from collections import Counter
 from functools import lru_cache
@@ -30,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.common import documents, slices
+from quillmill.llm.common import documents, in_one_task, lean, slices
 
 # The patterns by kind, in order, and the least length of their match (assign: of group 2).
 KINDS = ("assign", "access", "hex")
@@ -41,8 +47,8 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 _MAYBE = "password|passwd|secret|token|api_?key|akia|[0-9a-f]{24}"
 _LONG_HEX = re.compile(r"[0-9a-f]{24,}")  # maximal runs, so the same matches as HEX of that length
 
-#: The bound of the sample that the field is trained on.
-MAX_DOCS = 6000
+#: The bound of the sample that the field is trained on; of its windows about tokens outside secrets.
+MAX_DOCS, MAX_CHARS, ODD, PER_MATCH = 6000, 20_000_000, 6, 4
 SIZE = 1 << 14
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 _KEY = re.compile(r"passw|secret|token|api_?key|credential|auth|bearer|private|key", re.IGNORECASE)
@@ -96,9 +102,11 @@ def shape(token: str) -> tuple[str, ...]:
 
 
 @lru_cache(100_000)
-def _places(token: str) -> tuple[tuple[int, ...], tuple[int, ...], tuple[int, ...]]:
-    """Weight rows of a token's features as itself, as the token before, as the token after."""
+def _places(token: str, hidden: bool = False) -> tuple[tuple[int, ...], tuple[int, ...], tuple[int, ...]]:
+    """Weight rows of a token's features as itself, as the token before, as the token after; ``hidden``: without the patterns' marks."""
     s = shape(token)
+    if hidden:
+        s = tuple(f for f in s if not f.startswith(("key", "first")))
     few = [f for f in s if f.startswith(("plain", "size", "digits", "has", "key", "long", "short"))] + ["bias"]
     row = lambda name: zlib.crc32(name.encode()) % SIZE
     return tuple(row(f"0{f}") for f in s), tuple(row(f"-{f}") for f in few), tuple(row(f"+{f}") for f in few)
@@ -114,6 +122,9 @@ class Field:
 
     def __init__(self, weights: np.ndarray, moves: np.ndarray) -> None:
         self.weights, self.moves = weights, moves
+        # the most that the tags on both sides can add to a tag over what they add to outside
+        m = moves
+        self.slack = [max(m[p, y] + m[y, n] - m[p, OUT] - m[OUT, n] for p in range(3) for n in range(3)) for y in (BEGIN, INSIDE)]
 
     def viterbi(self, scores: np.ndarray, before: int = OUT, after: int | None = OUT) -> list[int]:
         """Best tags of a stretch whose neighbours on either side have the tags given."""
@@ -130,7 +141,7 @@ class Field:
         return tags[::-1]
 
 
-def train(samples: list[tuple[list[tuple[int, ...]], list[int]]], steps: int = 120, rate: float = 0.3, ridge: float = 2e-4) -> Field:
+def train(samples: list[tuple[list[tuple[int, ...]], list[int]]], steps: int = 120, rate: float = 0.3, ridge: float = 2e-4, ridge_moves: float = 0.02) -> Field:
     """Maximum likelihood by forward-backward over padded sequences, with AdaGrad steps. A sample: each token's weight rows, and tags."""
     n, length = len(samples), max(len(t) for _, t in samples)
     tags, mask = np.zeros((n, length), int), np.zeros((n, length), bool)
@@ -170,16 +181,33 @@ def train(samples: list[tuple[list[tuple[int, ...]], list[int]]], steps: int = 1
         moved[OUT] += p[:, 0].sum(0)
         d = ((gold - p) / n).reshape(-1, 3)
         g = np.stack([np.bincount(rows, d[where, k], SIZE) for k in range(3)], 1) - ridge * w
-        h = (pair - moved) / n - ridge * m
+        h = (pair - moved) / n - ridge_moves * m
         gw += g * g
         gm += h * h
         w += rate * g / np.sqrt(gw)
-        m = np.clip(m + rate * h / np.sqrt(gm), -0.75, 0.75)  # small transitions keep the chains to be walked short
+        m = m + rate * h / np.sqrt(gm)
     return Field(w, m)
 
 
-def training_samples(texts: list[str], around: int = 5) -> list[tuple[list[tuple[int, ...]], list[int]]]:
-    """Windows about every match, and as many others: half where tokens hold digits or marks, half anywhere."""
+#: Alphabets that secrets' characters are drawn anew from, and the least and greatest length.
+ALPHABETS = (string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/", string.digits + "ABCDEF", string.ascii_lowercase + string.digits, string.ascii_letters + string.digits + "-_")
+REDRAWN = (14, 48)
+_VALUE = re.compile(r"[A-Za-z0-9+/_-]{6,}(?!.*[A-Za-z0-9+/_-]{6})")
+
+
+def redrawn(token: str, seed: int) -> str:
+    """A token whose value (its last long run) has other characters, now and then after a short prefix."""
+    rng = random.Random(seed)
+    value = "".join(rng.choices(rng.choice(ALPHABETS), k=rng.randint(*REDRAWN)))
+    prefix = "".join(rng.choices(string.ascii_lowercase, k=rng.randint(2, 4))) + rng.choice("_-") if rng.random() < 0.4 else ""
+    return _VALUE.sub(lambda m: prefix + value, token, count=1)
+
+
+Sample = tuple[list[tuple[int, ...]], list[int]]
+
+
+def training_samples(texts: list[str], around: int = 5, odd: int = ODD, per_match: int = PER_MATCH) -> list[Sample]:
+    """Windows about every match, as it stands and with the patterns' marks hidden, and about tokens outside, chosen by hash."""
     out, plain = [], []
     for text in texts:
         spans = base_spans(text)
@@ -198,22 +226,40 @@ def training_samples(texts: list[str], around: int = 5) -> list[tuple[list[tuple
         keys = [bool(_KEY.search(p[2])) for p in parts]
         words = [usual(p[2], key) for p, key in zip(parts, keys, strict=True)]
         whole = file_features(words, sum(keys))
-        k = zlib.crc32(text.encode()) % len(words)
-        odd = [i for i, x in enumerate(words) if tags[i] == OUT and x[0] != "\0" and (keys[i] or len(x) > 16 or any(c.isdigit() for c in x))][:3]
-        at = [i for i, t in enumerate(tags) if t == BEGIN]
-        for i in [*at, *odd, k]:
-            lo, hi = max(0, i - around), min(len(words), i + around + 1)
-            feats = [(*_places(words[j])[0], *(_places(words[j - 1])[1] if j else ()), *(_places(words[j + 1])[2] if j + 1 < len(words) else ()), *whole) for j in range(lo, hi)]
-            (out if i in at else plain).append((feats, tags[lo:hi]))
-    return out + plain[: max(500, 3 * len(out))] if out else []
-
-
-def fit(docs: DataFrame, max_docs: int = MAX_DOCS) -> Field | None:
-    ids = docs.where("doc_id is not null and text is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
-    rows = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(ids), "doc_id")  # at most max_docs ids
-    texts = [r["text"] for r in rows.sort("doc_id", "text").toLocalIterator()]
-    samples = training_samples(texts)
-    return train(samples) if samples else None
+        lot = lambda i: zlib.crc32(f"{i} {parts[i][2]}".encode("utf-8", "surrogatepass"))  # noqa: B023, E731
+
+        def window(i: int, hidden: bool = False, anew: bool = False) -> Sample:
+            lo, hi = max(0, i - around), min(len(words), i + around + 1)  # noqa: B023
+            shown = [redrawn(w, lot(j)) if anew and tags[j] != OUT else w for j, w in enumerate(words)] if anew else words  # noqa: B023
+            own = lambda j: _places(shown[j], hidden and tags[j] != OUT)  # noqa: B023, E731
+            feats = [(*own(j)[0], *(own(j - 1)[1] if j else ()), *(own(j + 1)[2] if j + 1 < len(words) else ()), *whole) for j in range(lo, hi)]  # noqa: B023
+            return feats, tags[lo:hi]  # noqa: B023
+
+        strange = [i for i, x in enumerate(words) if tags[i] == OUT and x[0] != "\0" and (keys[i] or len(x) > 16 or any(c.isdigit() for c in x))]
+        outside = [*sorted(strange, key=lot)[:odd], zlib.crc32(text.encode("utf-8", "surrogatepass")) % len(words)]
+        plain += [(lot(i), window(i)) for i in outside if tags[i] == OUT]
+        out += [window(i, *how) for i, t in enumerate(tags) if t == BEGIN for how in ((False, False), (True, False), (True, True))]
+    plain.sort(key=lambda x: x[0])
+    return out + [x for _, x in plain[: max(500, per_match * len(out))]] if out else []
+
+
+def fit(docs: DataFrame, max_docs: int = MAX_DOCS, max_chars: int = MAX_CHARS) -> Field | None:
+    """Train on a sample by hash of the id; its ids (at most ``max_docs``) are broadcast, the work is done in one task."""
+    ids = docs.where("doc_id is not null and text is not null").select("doc_id").distinct().withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(max_docs)
+    rows = docs.select("doc_id", "text").where("text is not null").where(F.length("text") <= max_chars).join(F.broadcast(ids), "doc_id").select("text", "h", "doc_id")
+
+    def run(batches) -> bytes:
+        texts, read = [], 0
+        for b in batches:
+            for t in b.column(0).to_pylist():
+                if read + len(t) <= max_chars:
+                    read += len(t)
+                    texts.append(t)
+        samples = training_samples(texts)
+        return pickle.dumps(train(samples) if samples else None)
+
+    got = in_one_task(rows, ["h", "doc_id", "text"], run)
+    return pickle.loads(got) if got else None
 
 
 class Scanner:
@@ -227,7 +273,7 @@ class Scanner:
 
     def _scores(self, distinct: list[str]) -> np.ndarray:
         """For each token its index in the table of scores (self, as before, as after; 3 tags each)."""
-        if len(self.known) + len(distinct) > 600_000:
+        if len(self.known) + len(distinct) > 300_000:
             self.known, self.rows, self.keys = {}, [], []
         new = [t for t in distinct if t not in self.known]
         if new:
@@ -253,7 +299,7 @@ class Scanner:
         n = len(words)
         if not n:
             return {}
-        at = self._scores(words.dictionary.to_pylist())
+        at = self._scores(words.dictionary.to_numpy(zero_copy_only=False).tolist())
         rows, keys, of = np.array(self.rows)[at], np.array(self.keys)[at], words.indices.to_numpy()
         lengths = np.diff(ends)
         doc = np.repeat(np.arange(len(lengths)), lengths)
@@ -266,8 +312,8 @@ class Scanner:
         n_keys = np.bincount(doc, keys[of], len(lengths)).astype(int)
         whole = np.stack([self.field.weights[list(file_features(int(c), int(k)))].sum(0) for c, k in zip(lengths, n_keys, strict=True)])
         e += whole[doc]
-        slack = 2 * (self.field.moves.max() - self.field.moves.min())
-        open_ = np.flatnonzero(e[:, OUT] - np.maximum(e[:, BEGIN], e[:, INSIDE]) <= slack)
+        slack = self.field.slack
+        open_ = np.flatnonzero((e[:, OUT] - e[:, BEGIN] <= slack[0]) | (e[:, OUT] - e[:, INSIDE] <= slack[1]))
         out: dict[int, list[tuple[int, int]]] = {}
         if not len(open_):
             return out
@@ -316,7 +362,7 @@ def scan(docs: DataFrame, field: Field | None, *keep: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(n)), pa.array(found, kind)], names=[*keep, "spans"])
 
     ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1]), "spans array<struct<start:long,end:long,kind:string>>"])
-    return src.mapInArrow(run, ddl)
+    return src.mapInArrow(lean(run), ddl)
 
 
 def _is(kind: str):
@@ -357,4 +403,4 @@ def redact(docs: DataFrame, field: Field | None, mark: str = "<secret>") -> Data
             cols = [pa.array(out, texts.type) if k == at else b.column(k) for k in range(len(names))]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return src.mapInArrow(run, src.schema)
+    return src.mapInArrow(lean(run), src.schema)

@@ -3,9 +3,15 @@
 ``read_pages(data)`` walks the chain of image directories and yields one page each: strips or tiles,
 uncompressed, PackBits, LZW or Deflate, with horizontal differencing undone. ``decode(df)`` does so for a
 binary column, one row per page. ``write_tiff`` makes the files (8-bit grey, strips or tiles, any of those
-codecs). Malformed files give one row with page null and ``error`` set; null media give no row.
+codecs). Space for a page is taken only once as many bytes have been decoded, whatever sizes the file declares, so
+memory is bounded by the pages of a small batch of files.
 
-Pages are decoded one at a time and a row each, so memory is bounded by the largest page.
+The query deals texts to forms by a checksum of their payload, equal texts to equal forms: strips or tiles, with or without
+differencing; payloads of up to ``SMALL`` bytes also to PackBits, LZW or plain samples, all others to Deflate.
+
+Defined results: a malformed file gives one row with page null and ``error`` set, whichever page is at fault; null media give
+no row; null and empty texts are a payload of 64 zeros; texts of any length are stored whole, over pages of ``PAGE`` rows;
+repeated rows get equal results, row by row; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.common import documents, slices
+from quillmill.llm.common import documents, lean, slices
 
 # Fixed values of the TIFF 6.0 format: tags, field sizes, compression codes.
 WIDTH, LENGTH, BITS, COMPRESSION, PHOTOMETRIC, STRIP_OFFSETS, SAMPLES, ROWS_PER_STRIP, STRIP_COUNTS = 256, 257, 258, 259, 262, 273, 277, 278, 279
@@ -30,6 +36,8 @@ NONE, LZW, DEFLATE, PACKBITS, OLD_DEFLATE = 1, 5, 8, 32773, 32946
 
 #: Bytes in a row of pixels, rows in a strip, rows in a page, as the query below stores payloads.
 ROW, STRIP, PAGE = 64, 1024, 16384
+#: Payloads up to this size are dealt to all codecs; LZW and PackBits are plain Python.
+SMALL = 4096
 
 
 def packbits_decode(data: bytes) -> bytes:
@@ -216,20 +224,29 @@ def _page(data: bytes, t: dict[int, tuple[int, ...]]) -> np.ndarray:
     width, height, samples = t[WIDTH][0], t[LENGTH][0], t.get(SAMPLES, (1,))[0]
     if set(t.get(BITS, (1,))) != {8} or t.get(PLANAR, (1,))[0] != 1:
         raise ValueError("only interleaved 8-bit samples are read")
-    unpack, predictor = _UNPACK[t.get(COMPRESSION, (1,))[0]], t.get(PREDICTOR, (1,))[0]
-    tiled = TILE_OFFSETS in t
+    codec, predictor, tiled = t.get(COMPRESSION, (1,))[0], t.get(PREDICTOR, (1,))[0], TILE_OFFSETS in t
+    if codec not in _UNPACK or predictor not in (1, 2):
+        raise ValueError("unknown compression or predictor")
     w, h = (t[TILE_WIDTH][0], t[TILE_LENGTH][0]) if tiled else (width, min(t.get(ROWS_PER_STRIP, (height,))[0], height))
+    if 0 in (width, height, samples, w, h):
+        raise ValueError("a size of 0")
     across = -(-width // w)
-    out = np.zeros((height, width, samples), np.uint8)
-    for k, (at, n) in enumerate(zip(t[TILE_OFFSETS if tiled else STRIP_OFFSETS], t[TILE_COUNTS if tiled else STRIP_COUNTS], strict=True)):
+    places, counts = t[TILE_OFFSETS if tiled else STRIP_OFFSETS], t[TILE_COUNTS if tiled else STRIP_COUNTS]
+    if not len(places) == len(counts) == across * -(-height // h):
+        raise ValueError("another number of parts than the sizes ask for")
+    parts = []
+    for k, (at, n) in enumerate(zip(places, counts, strict=True)):
+        rows = h if tiled else min(h, height - k * h)
+        raw = _UNPACK[codec](data[at : at + n])
+        if len(raw) < rows * w * samples:
+            raise ValueError("a part is short")
+        parts.append(np.frombuffer(raw, np.uint8, rows * w * samples).reshape(rows, w, samples))
+    out = np.empty((height, width, samples), np.uint8)
+    for k, part in enumerate(parts):
         y, x = k // across * h, k % across * w
-        rows = h if tiled else min(h, height - y)
-        part = np.frombuffer(unpack(data[at : at + n]), np.uint8, rows * w * samples).reshape(rows, w, samples)
         if predictor == 2:
             part = np.cumsum(part, axis=1, dtype=np.uint8)
-        elif predictor != 1:
-            raise ValueError("unknown predictor")
-        out[y : y + rows, x : x + w] = part[: height - y, : width - x]
+        out[y : y + h, x : x + w] = part[: height - y, : width - x]
     return out
 
 
@@ -262,17 +279,16 @@ def decode(df: DataFrame, media: str, *keep: str) -> DataFrame:
             at, rows = [], []
             for i, data in enumerate(b.column(n).to_pylist()):
                 try:
-                    for k, (tags, a) in enumerate(read_pages(data)):
-                        at.append(i)
-                        rows.append((k, a.shape[1], a.shape[0], a.shape[2], tags.get(COMPRESSION, (1,))[0], a.tobytes(), None))
+                    own = [(k, a.shape[1], a.shape[0], a.shape[2], tags.get(COMPRESSION, (1,))[0], a.tobytes(), None) for k, (tags, a) in enumerate(read_pages(data))]
                 except (ValueError, KeyError, IndexError, struct.error, zlib.error) as err:
-                    at.append(i)
-                    rows.append((None, None, None, None, None, None, f"{type(err).__name__}: {err}"))
+                    own = [(None, None, None, None, None, None, f"{type(err).__name__}: {err}")]
+                rows += own
+                at += [i] * len(own)
             left = [b.column(i).take(pa.array(at, pa.int32())) for i in range(n)]
             yield pa.RecordBatch.from_arrays([*left, *(pa.array([r[i] for r in rows], t) for i, t in enumerate(_PAGE_TYPES))], names=names)
 
     ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1]), PAGE_SCHEMA])
-    return src.mapInArrow(run, ddl)
+    return src.mapInArrow(lean(run), ddl)
 
 
 def payload_of(text: str | None) -> tuple[int, bytes]:
@@ -280,8 +296,18 @@ def payload_of(text: str | None) -> tuple[int, bytes]:
     return len(raw), raw + b"\0" * (max(1, -(-len(raw) // 64)) * 64 - len(raw))
 
 
+def form_of(payload: bytes) -> dict:
+    """How a payload is stored: :func:`write_tiff`'s compression, predictor and tile."""
+    lot = zlib.crc32(payload)
+    small = len(payload) <= SMALL
+    return {
+        "compression": {0: LZW, 1: PACKBITS, 2: NONE}.get(lot % 8, DEFLATE) if small else DEFLATE,
+        "predictor": 1 + (lot >> 3 & 1), "tile": (((32, 16) if small else (32, 1024)) if lot >> 4 & 1 else None),
+    }
+
+
 def encode_texts(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_bytes, media``: each text's padded bytes as a grey image 64 pixels wide, Deflate, pages of ``PAGE`` rows."""
+    """``doc_id, n_bytes, media``: each text's padded bytes as a grey image 64 pixels wide, pages of ``PAGE`` rows."""
 
     def run(batches):
         for b in slices(batches, 64):
@@ -290,10 +316,10 @@ def encode_texts(docs: DataFrame) -> DataFrame:
                 n, data = payload_of(t)
                 a = np.frombuffer(data, np.uint8).reshape(-1, ROW)
                 sizes.append(n)
-                files.append(write_tiff([a[y : y + PAGE] for y in range(0, len(a), PAGE)]))
+                files.append(write_tiff([a[y : y + PAGE] for y in range(0, len(a), PAGE)], **form_of(data)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes, pa.int64()), pa.array(files, pa.binary())], names=["doc_id", "n_bytes", "media"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_bytes long, media binary")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_bytes long, media binary")
 
 
 def op8_tiff(spark, sf_dir: str) -> DataFrame:
@@ -338,4 +364,4 @@ def op8_tiff(spark, sf_dir: str) -> DataFrame:
         yield flush()
 
     names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-    return pages.mapInArrow(digest, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return pages.mapInArrow(lean(digest), "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")

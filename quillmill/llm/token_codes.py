@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillmill.llm.common import documents, materialize, slices
+from quillmill.llm.common import documents, lean, materialize, slices
 
 CHUNK, BLOCK, SEGMENT, END = 8, 512, 1 << 20, 2
 #: Ranges of doc_id that are sorted apart.
@@ -237,7 +237,7 @@ def tokenize(docs: DataFrame, path: str, cuts: np.ndarray | None = None) -> Data
             for i in range(0, b.num_rows, 512):  # an array of Spark's binary type holds 2 GB
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, 512), ids.slice(i, 512).cast(pa.binary()), part.slice(i, 512)], names=["doc_id", "ids", "part"])
 
-    return src.mapInArrow(run, "doc_id long, ids binary, part int")
+    return src.mapInArrow(lean(run), "doc_id long, ids binary, part int")
 
 
 _SEGMENTS = "part int, seq int, place long, n long, doc_ids array<long>, starts array<long>, codes binary"
@@ -281,7 +281,7 @@ def write_tokens(docs: DataFrame, path: str, end: int | None = END, segment: int
         if ids:
             yield out()
 
-    return materialize(ranged.select("doc_id", "ids", "part").mapInArrow(run, _SEGMENTS), "segments")
+    return materialize(ranged.select("doc_id", "ids", "part").mapInArrow(lean(run), _SEGMENTS), "segments")
 
 
 def read_tokens(segments: DataFrame) -> DataFrame:
@@ -301,7 +301,7 @@ def read_tokens(segments: DataFrame) -> DataFrame:
             cols = [(r["doc_ids"], pa.int64()), ([r["place"] + a for a in starts], pa.int64()), ([z - a for a, z in zip(starts, ends, strict=True)], pa.int64()), (crc, pa.int64())]
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in cols], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return rows.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return rows.mapInArrow(lean(run), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op3_token_codes(spark, sf_dir: str) -> DataFrame:
