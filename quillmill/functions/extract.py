@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from quillmill.functions import vocab
-from quillmill.functions.text import _fold, fold
+from quillmill.functions.text import _fold, fold, let
 
 
 def whole_words(words: tuple[str, ...], edge: str = "a-z0-9") -> str:
@@ -20,8 +20,8 @@ def whole_words(words: tuple[str, ...], edge: str = "a-z0-9") -> str:
 
 def keyword_labels(text: Column, table: dict[str, tuple[str, ...]] = vocab.CONCEPTS) -> Column:
     """Labels, sorted, of which any word stands alone in the folded lower-case text."""
-    low = F.lower(fold(F.coalesce(text, F.lit(""))))
-    return F.sort_array(F.array_compact(F.array(*(F.when(low.rlike(whole_words(w)), k) for k, w in table.items()))))
+    found = lambda low: F.sort_array(F.array_compact(F.array(*(F.when(low.rlike(whole_words(w)), k) for k, w in table.items()))))
+    return let(F.lower(fold(F.coalesce(text, F.lit("")))), found)
 
 
 def timeframes(text: Column) -> Column:
@@ -30,9 +30,8 @@ def timeframes(text: Column) -> Column:
 
 
 def _one_of(text: Column, yes: tuple[str, str], no: tuple[str, str]) -> Column:
-    low = F.lower(fold(F.coalesce(text, F.lit(""))))
-    a, b = low.rlike(rf"\b({yes[1]})\b"), low.rlike(rf"\b({no[1]})\b")
-    return F.when(a & ~b, yes[0]).when(b & ~a, no[0])
+    has = lambda low, words: low.rlike(rf"\b({words})\b")
+    return let(F.lower(fold(F.coalesce(text, F.lit("")))), lambda low: F.when(has(low, yes[1]) & ~has(low, no[1]), yes[0]).when(has(low, no[1]) & ~has(low, yes[1]), no[0]))
 
 
 def bias(text: Column) -> Column:
@@ -45,7 +44,7 @@ def direction(text: Column) -> Column:
 
 def setup_status(text: Column) -> Column:
     low = F.lower(fold(F.coalesce(text, F.lit(""))))
-    return F.when(low.rlike("|".join(vocab.NO_SETUP)), "no_setup").when(low.rlike(r"\bsetup\b"), "setup_mentioned")
+    return let(low, lambda x: F.when(x.rlike("|".join(vocab.NO_SETUP)), "no_setup").when(x.rlike(r"\bsetup\b"), "setup_mentioned"))
 
 
 def trade_level(text: Column, field: str) -> Column:
@@ -92,42 +91,65 @@ def display_name(symbol: Column) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for kv in vocab.DISPLAY_NAMES.items() for x in kv)), symbol), symbol)
 
 
+class Lexicon:
+    """word -> value of the key that ranks first: the word itself, or, for 4 letters and more, the likeliest (the first of equals) if it
+    is like enough. One that holds the other counts 0.92. Words met are remembered, up to a bound."""
+
+    def __init__(self, table: dict[str, str], least: float = 0.72, most: int = 50_000) -> None:
+        self.table, self.least, self.most, self.met = table, least, most, {}
+
+    def __call__(self, word: str) -> str | None:
+        if word in self.table or len(word) < 4 or not self.table:
+            return self.table.get(word)
+        if word not in self.met:
+            if len(self.met) >= self.most:
+                self.met.clear()
+            self.met[word] = self._likeliest(word)
+        return self.met[word]
+
+    def _likeliest(self, word: str) -> str | None:
+        best, found, match = 0.0, None, SequenceMatcher(None, "", "")
+        match.set_seq1(word)
+        for key, value in self.table.items():
+            if word in key or key in word:
+                like = 0.92
+            else:
+                match.set_seq2(key)
+                bounds = (match.real_quick_ratio, match.quick_ratio)  # upper bounds, cheap ones first
+                like = 0.0 if any(f() < self.least or f() <= best for f in bounds) else match.ratio()
+            if like > best:
+                best, found = like, value
+        return found if best >= self.least else None
+
+
 def fuzzy(word: str, table: dict[str, str], least: float = 0.72) -> str | None:
-    """Value of the key most like a word: itself; for 4 letters or more, one that holds the other counts 0.92, else the matching ratio. First of equals."""
-    if word in table:
-        return table[word]
-    if len(word) < 4:
-        return None
-    best, found = 0.0, None
-    for key, value in table.items():
-        like = 0.92 if word in key or key in word else SequenceMatcher(None, word, key).ratio()
-        if like > best:
-            best, found = like, value
-    return found if best >= least else None
+    return Lexicon(table, least)(word)
+
+
+# bases and quotes of a pair that a slash parts, and of one that stands in running text
+_SLASHED = Lexicon(vocab.BASE_ALIASES, 0.66), Lexicon(vocab.QUOTE_ALIASES, 0.66)
+_RUNNING = Lexicon(vocab.BASE_ALIASES, 0.68), Lexicon(vocab.QUOTE_ALIASES, 0.68)
+_VENUE = Lexicon({v.lower(): v for v in vocab.VENUES}, 0.8)
 
 
 def _tokens(text: str) -> list[str]:
     return [t.lower() for t in re.findall(r"[A-Za-z][A-Za-z0-9]+", _fold(text))]
 
 
+def _first(find: Lexicon, words: list[str]) -> str | None:
+    return next(filter(None, map(find, words)), None)
+
+
 def _pairs(text: str) -> set[str]:
-    out: set[str] = set()
-    for line in dict.fromkeys(x.strip() for x in text.splitlines()):
-        left, slash, right = line.partition("/")
-        if not slash:
-            continue
-        base = next((b for t in reversed(_tokens(left)) if (b := fuzzy(t, vocab.BASE_ALIASES, 0.66))), None)
-        quote = next((q for t in _tokens(right)[:5] if (q := fuzzy(t, vocab.QUOTE_ALIASES, 0.66))), None)
-        if base and quote:
-            out.add(base + quote)
-    if not out:
+    """Base and quote on both sides of a line's first slash; where no line has such a pair, a base with a quote among the four words after it."""
+    sides = [(_tokens(a), _tokens(b)[:5]) for a, slash, b in (line.partition("/") for line in set(text.splitlines())) if slash]
+    named = {(_first(_SLASHED[0], a), _first(_SLASHED[1], b)) for a, b in sides}
+    found = {b + q for b, q in named if b and q}
+    if not found:
         words = _tokens(text)
-        for i, t in enumerate(words):
-            if base := fuzzy(t, vocab.BASE_ALIASES, 0.68):
-                quote = next((q for u in words[i + 1 : i + 5] if (q := fuzzy(u, vocab.QUOTE_ALIASES, 0.68))), None)
-                if quote:
-                    out.add(base + quote)
-    return out
+        near = ((_RUNNING[0](w), words[i + 1 : i + 5]) for i, w in enumerate(words))
+        found = {b + q for b, after in near if b and (q := _first(_RUNNING[1], after))}
+    return found
 
 
 @F.pandas_udf(ArrayType(StringType()))
@@ -137,16 +159,15 @@ def pair_symbols(texts: pd.Series) -> pd.Series:
 
 @F.pandas_udf(ArrayType(StringType()))
 def fuzzy_venues(texts: pd.Series) -> pd.Series:
-    table = {v.lower(): v for v in vocab.VENUES}
-    return texts.map(lambda t: sorted({v for w in _tokens(t or "") if (v := fuzzy(w, table, 0.8))} | {v for v in vocab.VENUES if v in _fold(t or "").upper()}))
+    return texts.map(lambda t: sorted({v for w in _tokens(t or "") if (v := _VENUE(w))} | {v for v in vocab.VENUES if v in _fold(t or "").upper()}))
 
 
 def symbols(text: Column) -> Column:
     """All instruments named: forex codes in pairs, $TICKERs, ...USD(T), known symbols, and fuzzy base / quote pairs."""
-    up = F.upper(fold(F.coalesce(text, F.lit(""))))
+    up = F.upper(F.coalesce(text, F.lit("")))
     codes = "|".join(vocab.FOREX_CODES)
-    pairs = F.filter(F.regexp_extract_all(up, F.lit(rf"\b((?:{codes})(?:{codes}))\b"), F.lit(1)), lambda p: F.substring(p, 1, 3) != F.substring(p, 4, 3))
-    tick = F.regexp_extract_all(up, F.lit(r"\$([A-Z]{2,6})\b"), F.lit(1))
-    usd = F.regexp_extract_all(up, F.lit(r"\b([A-Z]{2,6}USDT?)\b"), F.lit(1))
+    pairs = F.regexp_extract_all(up, F.lit(rf"(?U)\b((?:{codes})(?:{codes}))\b"), F.lit(1))
+    tick = F.regexp_extract_all(up, F.lit(r"(?U)\$([A-Z]{1,5})\b"), F.lit(1))
+    usd = F.regexp_extract_all(up, F.lit(r"(?U)\b([A-Z]{2,6}USDT?)\b"), F.lit(1))
     known = F.array_compact(F.array(*(F.when(up.contains(s), s) for s in vocab.KNOWN_SYMBOLS)))
     return F.sort_array(F.array_distinct(F.concat(pairs, tick, usd, known, pair_symbols(text))))

@@ -74,6 +74,21 @@ def render_scale(b: Column) -> Column:
     return F.round(F.least(F.lit(4.0), F.greatest(F.lit(2.0), F.lit(2200.0) / F.greatest(width(b), height(b), F.lit(1.0)))), 2)
 
 
+def padding(source: Column) -> Column:
+    """Points around an asset when it is drawn: none where an embedded picture is part of it."""
+    return F.when(source.contains("embedded_image"), 0.0).otherwise(PADDING)
+
+
+def rounded(b: Column) -> Column:
+    return F.struct(*(F.round(b[e], 2).alias(e) for e in ("x0", "y0", "x1", "y1")))
+
+
+def share_of_page(b: Column, page: Column) -> Column:
+    """A box as parts of its page, to four places."""
+    wide, high = F.greatest(width(page), F.lit(1.0)), F.greatest(height(page), F.lit(1.0))
+    return F.struct(*(F.round((b[e] - page[f"{e[0]}0"]) / (wide if e[0] == "x" else high), 4).alias(e) for e in ("x0", "y0", "x1", "y1")))
+
+
 def block_score(block: Column, font: Column, asset: Column, page: Column) -> Column:
     """How well a text block belongs to an asset; null outside its window."""
     x, down, side = axis_overlap(asset, block, "x"), gap(asset, block, "y"), gap(asset, block, "x")

@@ -1,9 +1,11 @@
-"""Text and identifier expressions. All are Column functions inside code generation, but for NFKD folding and
-mojibake repair, which are Arrow batches (``fold``, ``repair``), the latter only for rows that show a marker."""
+"""Text and identifier expressions. All are Column functions inside the JVM but for mojibake repair, an Arrow batch that is
+handed those rows only that show a marker."""
 
 from __future__ import annotations
 
+import json
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -21,12 +23,22 @@ def stable_id(*parts: Column | str) -> Column:
     return F.substring(F.sha1(F.concat_ws("::", *(F.coalesce(c.cast("string"), F.lit("")) for c in cols))), 1, 16)
 
 
-def strip(c: Column, chars: str = r"\s") -> Column:
-    return F.regexp_replace(c, f"(?U)^[{chars}]+|[{chars}]+$", "")
+def strip(c: Column) -> Column:
+    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+
+
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(value)`` with the value worked out once, for expressions that use a long one often."""
+    return F.transform(F.array(value), lambda x: f(x))[0]
 
 
 def normalize_whitespace(c: Column) -> Column:
-    """NUL to space, CRLF and CR to LF, runs of blanks to one, three or more line breaks to two, ends stripped."""
+    """Wrongly decoded text repaired, NUL to space, CRLF and CR to LF, runs of blanks to one, three or more line breaks to two, ends stripped."""
+    return tidy(repair(c))
+
+
+def tidy(c: Column) -> Column:
+    """:func:`normalize_whitespace` without the repair."""
     c = F.regexp_replace(F.regexp_replace(c, "\\x00", " "), "\r\n?", "\n")
     return strip(F.regexp_replace(F.regexp_replace(c, "[ \t]+", " "), "\n{3,}", "\n\n"))
 
@@ -38,18 +50,19 @@ def collapse(c: Column) -> Column:
 
 def words(c: Column) -> Column:
     """Words between white space; none for blank or null text."""
-    flat = collapse(F.coalesce(c, F.lit("")))
-    return F.when(flat == "", F.array().cast("array<string>")).otherwise(F.split(flat, " "))
+    return F.filter(F.split(F.coalesce(c, F.lit("")), WS), lambda w: w != "")
 
 
 def density(c: Column) -> Column:
-    n = F.size(words(c))
-    return F.when(n < 25, "low").when(n < 120, "medium").otherwise("high")
+    return let(F.size(words(c)), lambda n: F.when(n < 25, "low").when(n < 120, "medium").otherwise("high"))
 
 
 def first_sentence(c: Column, limit: int = 360) -> Column:
     flat = collapse(F.coalesce(c, F.lit("")))
-    one = F.split(flat, r"(?<=[.!?])\s+", 2)[0]
+    return let(F.split(flat, r"(?<=[.!?])\s+", 2)[0], lambda one: shortened(one, limit))
+
+
+def shortened(one: Column, limit: int = 360) -> Column:
     return F.when(F.length(one) <= limit, one).otherwise(F.concat(F.rtrim(F.substring(one, 1, limit - 3)), F.lit("...")))
 
 
@@ -86,7 +99,10 @@ def normalize_line(c: Column) -> Column:
 
 
 def is_noise(line: Column) -> Column:
-    low = strip(F.lower(line))
+    return let(strip(F.lower(line)), _noise)
+
+
+def _noise(low: Column) -> Column:
     return (low == "") | low.rlike(r"^(page\s*)?\d+(\s*(/|of)\s*\d+)?$") | low.rlike(r"^[-_=|. ]{3,}$") | low.rlike(r"(?U)^[^\p{L}\p{N}]$")
 
 
@@ -97,18 +113,27 @@ def is_date_or_time(line: Column) -> Column:
 
 
 def distinct_lines(lines: Column) -> Column:
-    """First of each line apart from case, in order; blank ones dropped."""
+    """First of each line apart from case, in order; blank ones dropped. Linear: lower-case lines are made once, their first places
+    come from a map whose later keys give way, and places are sorted."""
     kept = F.filter(F.transform(lines, normalize_line), lambda x: x != "")
-    low = F.transform(kept, lambda x: F.lower(x))
-    return F.filter(kept, lambda x, i: F.array_position(low, F.lower(x)) == i + 1)
+    return first_apart_from_case(kept)
+
+
+def first_apart_from_case(kept: Column) -> Column:
+    keyed = F.transform(kept, lambda x, i: F.struct(F.lower(x).alias("low"), i.alias("i"), x.alias("x")))
+    ranked = F.sort_array(keyed)  # by line, then place
+    before = F.concat(F.slice(F.array(F.lit(None).cast("string")), 1, 1), F.transform(ranked, lambda r: r["low"]))
+    first = F.filter(F.zip_with(ranked, before, lambda r, b: F.struct(r["i"].alias("i"), r["x"].alias("x"), (r["low"].isNotNull() & ~r["low"].eqNullSafe(b)).alias("new"))), lambda r: r["new"])
+    return F.transform(F.sort_array(F.transform(first, lambda r: F.struct(r["i"], r["x"]))), lambda r: r["x"])
 
 
-def polish(text: Column) -> Column:
+def polish(text: Column, most: int | None = None) -> Column:
     """Lines of a text: hyphens at line ends undone, cleaned, without noise, each once. A single line falls into sentences."""
     whole = F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)(\w)-\n(\w)", "$1$2")
     lines = F.when(whole.contains("\n"), F.split(whole, "\n")).otherwise(F.split(whole, r"(?<=[.!?])\s+"))
     clean = F.filter(F.transform(lines, normalize_line), lambda x: ~is_noise(x))
-    return distinct_lines(clean)
+    out = distinct_lines(clean)
+    return out if most is None else F.slice(out, 1, most)
 
 
 def meaningful(text: Column) -> Column:
@@ -132,23 +157,37 @@ def _fold(s: str) -> str:
     return unicodedata.normalize("NFKD", s).encode("ascii", "ignore").decode()
 
 
-@F.pandas_udf(StringType())
-def _fold_batch(s: pd.Series) -> pd.Series:
-    return s.map(_fold, na_action="ignore")
+def _folds() -> tuple[dict[str, str], dict[str, str]]:
+    """By the rule of NFKD: characters that fold to one ASCII character, and those that fold to several."""
+    one, more = {}, {}
+    for c in map(chr, range(0x80, 0x110000)):
+        if not 0xD800 <= ord(c) <= 0xDFFF and (low := _fold(c)):
+            (one if len(low) == 1 else more)[c] = low
+    return one, more
 
 
-def fold(c: Column) -> Column:
-    """NFKD, then ASCII only. Plain ASCII rows never leave the JVM."""
-    return F.when(c.rlike(r"^\p{ASCII}*$"), c).otherwise(_fold_batch(F.when(~c.rlike(r"^\p{ASCII}*$"), c)))
+_ONE, _MORE = _folds()
+_MORE_JSON = json.dumps(_MORE)
 
 
-# accented letters of Latin blocks and their base letters, by the rule of NFKD
-_ACCENTED = {ch: b for ch in map(chr, range(0xA0, 0x250)) if len(b := _fold(ch)) == 1}
+def _as_class(chars) -> str:
+    """A pattern for any of some characters beyond ASCII, as ranges; ASCII is told apart first."""
+    ranges: list[list[int]] = []
+    for c in sorted(map(ord, chars)):
+        if ranges and ranges[-1][1] == c - 1:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    return r"(?=\P{ASCII})[" + "".join(rf"\x{{{a:X}}}-\x{{{z:X}}}" for a, z in ranges) + "]"
 
 
-def fold_latin(c: Column) -> Column:
-    """As :func:`fold` for Latin text, without leaving the JVM: for lambdas, where Python functions can't go."""
-    return F.regexp_replace(F.translate(c, "".join(_ACCENTED), "".join(_ACCENTED.values())), r"[^\p{ASCII}]", "")
+def fold(c: Column) -> Column:
+    """NFKD, then ASCII only, character by character (what decomposes leaves no ASCII out of order). Stays in the JVM, also in lambdas."""
+    table = F.from_json(F.lit(_MORE_JSON), "map<string,string>")  # a literal, folded once
+    spread = lambda x: F.array_join(F.transform(F.split(x, ""), lambda ch: F.coalesce(F.try_element_at(table, ch), ch)), "")
+    wide = lambda x: F.when(x.rlike(_as_class(_MORE)), spread(x)).otherwise(x)
+    narrow = lambda x: F.regexp_replace(F.translate(wide(x), "".join(_ONE), "".join(_ONE.values())), r"[^\p{ASCII}]", "")
+    return let(c, lambda x: F.when(x.rlike(r"^\p{ASCII}*$"), x).otherwise(narrow(x)))
 
 
 def token(c: Column) -> Column:

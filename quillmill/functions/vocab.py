@@ -15,6 +15,13 @@ TIMEFRAMES = {
     "H1": ("1h", "h1", "ih", "lh"), "H2": ("2h",), "H4": ("4h", "h4"), "H6": ("6h",), "H8": ("8h",), "H12": ("12h",),
     "D1": ("1d", "d1"), "W1": ("1w", "w1"), "MN1": ("1mo",),
 }
+#: Canonical timeframe -> the one spelling besides its code that a picture's text may show it by.
+FRAME_NAMES = {k: (v[0],) for k, v in TIMEFRAMES.items()}
+#: Asset type -> the element tag it stands for.
+PANELS = {"chart": "chart_panel", "performance_panel": "performance_panel", "strategy_figure": "strategy_panel", "figure": "generic_figure"}
+LEVEL_WORDS = ("entry", "stop", "tp", "target")
+METRIC_WORDS = ("pnl", "drawdown", "win rate", "profit factor", "sharpe")
+RULE_WORDS = ("strategy", "rules", "checklist", "criteria")
 CONCEPTS = {
     "breakout": ("breakout", "range break", "compression break"),
     "pullback": ("pullback", "retest", "retracement"),
@@ -75,6 +82,7 @@ NUMBER = r"([0-9]+(?:[.,][0-9]+)*)"
 LEVELS = {"entry": (r"\bentry(?:\s*price)?\b[:\s-]*",), "stop_loss": (r"\bstop(?:\s*loss)?\b[:\s-]*", r"\bsl\b[:\s-]*"), "take_profit": (r"\btake\s*profit\b[:\s-]*", r"\btp\b[:\s-]*", r"\btarget\b[:\s-]*")}
 WEEKDAYS = ("montag", "dienstag", "mittwoch", "donnerstag", "freitag", "samstag", "sonntag")
 MOJIBAKE = ("�", "Ã", "Â", "â€", "â€“", "â€”", "â€œ", "â€\x9d", "â€™", "ï¿½", "â\u0080")
+ARTIFACTS = ("\ufffd", "Ã", "Â", "â€", "ï¿½")
 PUNCTUATION = {"‘": "'", "’": "'", "“": '"', "”": '"', "–": "-", "—": "-", "−": "-", "…": "...", " ": " "}
 EXTENSIONS = {"jpg": "jpg", "jpeg": "jpg", "png": "png", "webp": "webp", "bmp": "bmp", "tif": "tif", "tiff": "tif"}
 UPLOAD_MARKERS = (

@@ -12,10 +12,10 @@ SIZE, OVERLAP = 320, 40
 
 def chunks(text: Column, size: int = SIZE, overlap: int = OVERLAP) -> Column:
     """Windows of ``size`` words, ``size - overlap`` apart, joined by one space; one window for a text that fits."""
-    words, step = T.words(text), max(1, size - overlap)
-    n = F.size(words)
-    starts = F.when(n == 0, F.array().cast("array<int>")).when(n <= size, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), n - 1, F.lit(step)))
-    return F.transform(starts, lambda i: F.array_join(F.slice(words, i + 1, F.lit(size)), " "))
+    step = max(1, size - overlap)
+    starts = lambda n: F.when(n == 0, F.array().cast("array<int>")).when(n <= size, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), n - 1, F.lit(step)))
+    # the words are split once, whatever the number of windows
+    return T.let(T.words(text), lambda ws: F.transform(starts(F.size(ws)), lambda i: F.array_join(F.slice(ws, i + 1, F.lit(size)), " ")))
 
 
 def document_rows(docs: DataFrame) -> DataFrame:
@@ -34,6 +34,6 @@ def knowledge_chunks(rows: DataFrame, size: int = SIZE, overlap: int = OVERLAP)
 
 def line_table(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """Each document's distinct non-blank lines (apart from case), first of equals, numbered anew."""
-    lines = docs.select(key, F.posexplode(F.split(F.col("text"), "\n")).alias("at", "line")).withColumn("line", T.normalize_line(F.col("line"))).where("line <> ''")
+    lines = docs.select(key, F.posexplode(F.split(T.repair(F.col("text")), "\n")).alias("at", "line")).withColumn("line", T.normalize_line(F.col("line"))).where("line <> ''")
     first = lines.groupBy(key, F.lower("line").alias("low")).agg(F.min(F.struct("at", "line")).alias("m")).select(key, "m.*")
     return first.select(key, (F.row_number().over(Window.partitionBy(key).orderBy("at")) - 1).alias("line_index"), "line")

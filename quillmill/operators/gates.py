@@ -76,7 +76,15 @@ def review_reasons(review: Column, density: Column, asset_type: Column, confiden
 
 
 def encoding_artifacts(ocr: Column) -> Column:
-    return F.coalesce(ocr.contains("�") | ocr.contains("Ã") | ocr.contains("Â"), F.lit(False))
+    """Marks of text that was decoded wrongly."""
+    return F.coalesce(ocr.rlike("|".join(vocab.ARTIFACTS)), F.lit(False))
+
+
+def page_needs_review(text: Column, density: Column, page_type: Column, confidence: Column, ocr: Column, symbols: Column, frames: Column, n_assets: Column) -> Column:
+    """A page with weak text, type or frames, or with pictures but no instrument."""
+    none = lambda c: F.coalesce(F.size(c), F.lit(0)) == 0
+    blank = F.coalesce(text == "", F.lit(True))
+    return blank | (density == "low") | (page_type == "unknown") | (confidence < 0.45) | encoding_artifacts(ocr) | none(frames) | ((n_assets > 0) & none(symbols))
 
 
 def asset_needs_review(text: Column, density: Column, asset_type: Column, confidence: Column, source: Column, ocr: Column, symbol: Column, frames: Column) -> Column:

@@ -12,19 +12,24 @@ from pyspark.sql.types import ArrayType, MapType, StringType
 from quillmill.functions import text as T
 from quillmill.functions import vocab
 
-FIELDS = (*vocab.RECORD_FIELDS, *vocab.PASSED_FIELDS)
 #: Field group -> hundredths of confidence that any present value of the group is worth.
 WEIGHTS = {("symbol",): 20, ("timeframe",): 15, ("direction",): 20, ("entry",): 15, ("thesis", "notes"): 15, ("outcome", "pnl"): 15}
 LEAST = 0.35
 
 
-def _lines(value, prefix: str = "") -> list[str]:
-    if isinstance(value, dict):
-        return [x for k, v in value.items() for x in _lines(v, f"{prefix}.{k}" if prefix else str(k))]
-    if isinstance(value, list):
-        return [x for i, v in enumerate(value) for x in _lines(v, f"{prefix}[{i}]")]
-    shown = "" if value is None else str(value)
-    return [f"{prefix}: {shown}" if prefix else shown]
+def _lines(value) -> list[str]:
+    """``path: value`` of every leaf, in order; a stack holds what is still to be opened."""
+    out, todo = [], [("", value)]
+    while todo:
+        path, v = todo.pop()
+        if isinstance(v, dict):
+            todo += [(f"{path}.{k}" if path else str(k), x) for k, x in reversed(v.items())]
+        elif isinstance(v, list):
+            todo += [(f"{path}[{i}]", x) for i, x in reversed([*enumerate(v)])]
+        else:
+            shown = "" if v is None else str(v)
+            out.append(f"{path}: {shown}" if path else shown)
+    return out
 
 
 @F.pandas_udf(ArrayType(StringType()))
@@ -93,16 +98,40 @@ def plain(value: Column) -> Column:
     return F.when(value.startswith('"'), F.get_json_object(F.concat(F.lit('{"v":'), value, F.lit("}")), "$.v")).otherwise(value)
 
 
+# The instructions of a decision example, and the fields that would give its end away.
+SYSTEM = "You are a trading backtesting assistant. Use only the provided context and respond with a compact decision summary."
+REVIEW = "Review this historical trade setup and state the intended decision.\n\n"
+HINDSIGHT = ("outcome", "pnl", "end_time")
+
+
+@F.pandas_udf(StringType())
+def _indented(objects: pd.Series) -> pd.Series:
+    return objects.map(lambda o: json.dumps(json.loads(o), ensure_ascii=False, indent=2), na_action="ignore")
+
+
+def as_json(record: Column) -> Column:
+    """A map of JSON values as one JSON text, two blanks a level. Only records with lists or objects inside leave the JVM."""
+    pair = lambda indent: F.transform(F.map_entries(record), lambda e: F.concat(F.lit(f'{indent}"'), e["key"], F.lit('": '), e["value"]))
+    flat = F.concat(F.lit("{\n"), F.array_join(pair("  "), ",\n"), F.lit("\n}"))
+    deep = F.exists(F.map_values(record), lambda v: v.rlike(r"^[\[{].*[^\[{]"))
+    compact = F.concat(F.lit("{"), F.array_join(pair(""), ","), F.lit("}"))
+    return F.when(F.size(record) == 0, "{}").when(deep, _indented(F.when(deep, compact))).otherwise(flat)
+
+
 def decision_messages(record: Column) -> Column:
-    """System, user and assistant messages; null without a symbol and a direction or entry. The prompt never holds the outcome."""
+    """System, user and assistant messages; null without a symbol and a direction or entry, or without anything to reply.
+
+    The prompt is the record but for what was known only afterwards; the reply holds action (the direction), entry, stop_loss,
+    take_profit and thesis (else the notes), those that have a value.
+    """
     get = lambda n: F.try_element_at(record, F.lit(n))
-    asked = [n for n in FIELDS if n not in ("outcome", "pnl", "end_time", "direction", "entry", "stop_loss", "take_profit")]
-    given = ("direction", "entry", "stop_loss", "take_profit", "thesis", "outcome", "pnl")
-    prompt = F.array_join(F.array_compact(F.array(*(F.when(truthy(get(n)), F.concat(F.lit(f"{n}: "), plain(get(n)))) for n in asked))), "\n")
-    reply = F.concat(F.lit("{"), F.array_join(F.array_compact(F.array(*(F.when(get(n).isNotNull() & (get(n) != '""') & (get(n) != "null"), F.concat(F.lit(f'"{n}": '), get(n))) for n in given))), ", "), F.lit("}"))
+    asked = F.map_filter(record, lambda k, v: ~k.isin(*HINDSIGHT))
+    thesis = F.when(truthy(get("thesis")), get("thesis")).otherwise(get("notes"))
+    given = {"action": get("direction"), "entry": get("entry"), "stop_loss": get("stop_loss"), "take_profit": get("take_profit"), "thesis": thesis}
+    reply = F.map_filter(F.create_map(*(x for k, v in given.items() for x in (F.lit(k), v))), lambda k, v: v.isNotNull() & ~v.isin("null", '""'))
     message = lambda role, c: F.struct(F.lit(role).alias("role"), c.alias("content"))
-    out = F.array(message("system", F.lit("You turn trade context into a structured decision.")), message("user", prompt), message("assistant", reply))
-    return F.when(truthy(get("symbol")) & (truthy(get("direction")) | truthy(get("entry"))), out)
+    out = F.array(message("system", F.lit(SYSTEM)), message("user", F.concat(F.lit(REVIEW), as_json(asked))), message("assistant", as_json(reply)))
+    return F.when(truthy(get("symbol")) & (truthy(get("direction")) | truthy(get("entry"))) & (F.size(reply) > 0), out)
 
 
 def trade_candidates(rows: DataFrame, record: Column, least: float = LEAST) -> DataFrame:

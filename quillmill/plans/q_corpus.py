@@ -57,23 +57,26 @@ def first_sentences(spark, sf_dir):
 _COMMON = {"articles": ("the", "la", "le", "der", "die"), "joining": ("and", "et", "und", "y"), "rude": ("idiot", "moron", "stupid"), "rights": ("license", "copyright")}
 
 
+#: NFKD folding as SQL can do it: accents go, then what isn't ASCII. Ligatures and fractions would differ; the tests hold those.
+_FOLDED = "regexp_replace(strip_accents(coalesce(text, '')), '[^\\x00-\\x7F]', '', 'g')"
+
+
 def _label_sql(words):
-    return f"regexp_matches(lower(text), '(^|[^a-z0-9])({'|'.join(words)})([^a-z0-9]|$)')"
+    return f"regexp_matches(low, '(^|[^a-z0-9])({'|'.join(words)})([^a-z0-9]|$)')"
 
 
 @query("keyword_labels", f"""
 SELECT doc_id, coalesce(array_to_string(list_sort(list_filter([{', '.join(f"CASE WHEN {_label_sql(w)} THEN '{k}' END" for k, w in _COMMON.items())}], lambda x: x IS NOT NULL)), ','), '') AS labels
-FROM documents WHERE regexp_full_match(text, '[\\x00-\\x7F]*')
+FROM (SELECT doc_id, lower({_FOLDED}) AS low FROM documents)
 """)
 def keyword_labels(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").where(F.col("text").rlike(r"^\p{ASCII}*$"))
-    return d.select("doc_id", F.array_join(X.keyword_labels(F.col("text"), _COMMON), ",").alias("labels"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(X.keyword_labels(F.col("text"), _COMMON), ",").alias("labels"))
 
 
-# keyword_labels holds the pure ASCII documents, as its SQL does; SQL has no NFKD folding, so all documents are a query without SQL
-@query("keyword_labels_all")
-def keyword_labels_all(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(X.keyword_labels(F.col("text"), _COMMON), ",").alias("labels"))
+@query("folded_documents", f"SELECT doc_id, md5({_FOLDED}) AS folded, md5(regexp_replace(lower({_FOLDED}), '[^a-z0-9]+', '', 'g')) AS token, md5(trim(regexp_replace(lower({_FOLDED}), '[^a-z0-9]+', ' ', 'g'))) AS label FROM documents")
+def folded_documents(spark, sf_dir):
+    text = F.coalesce("text", F.lit(""))
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(T.fold(text)).alias("folded"), F.md5(T.token(text)).alias("token"), F.md5(T.label(text)).alias("label"))
 
 
 @query("page_slugs", """

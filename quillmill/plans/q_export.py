@@ -56,20 +56,11 @@ _REPLIES = [
 ]
 
 
-@query("model_replies", "SELECT * FROM (" + values("id short_caption confidence elements", [(1, "a chart", "high", ""), (2, "braces } in", "medium", "x"), (3, 'says "hi" there', "medium", "")]) + ")")
+@query("model_replies", "SELECT * FROM (" + values("id short_caption confidence elements", [(1, "a  chart", "high", ""), (2, "braces } in", "medium", "x,x"), (3, 'says "hi" there', "medium", ""), (4, None, None, None), (5, None, None, None), (6, None, None, None)]) + ")")
 def model_replies(spark, sf_dir):
-    d = spark.createDataFrame(_REPLIES, "id int, reply string").withColumn("j", E.reply_json(F.col("reply"))).where("j like '{%'").withColumn("d", E.description(F.col("j")))
-    return d.select("id", "d.short_caption", "d.confidence", F.array_join("d.key_visual_elements", ",").alias("elements"))
-
-
-@query("training_responses")
-def training_responses(spark, sf_dir):
-    rows = [
-        (1, "figure", ["candles", "highlighted swings", "price axis", "timeframe label"], ["text is blurry"], "EURUSD", "Euro / US-Dollar", "FXCM", ["M5"], "Euro / US-Dollar - 5 - FXCM", "H1 bearish chart", "It may indicate weakness"),
-        (2, "chart", ["BOS", "candles"], [], "BTCUSDT", "", "", [], "BOS", "Chart with a BOS label", "A chart."), (3, "figure", [], [], "", "", "", [], "", "", ""),
-    ]
-    d = spark.createDataFrame(rows, "id int, asset_type string, elements array<string>, limitations array<string>, symbol string, instrument string, venue string, frames array<string>, ocr string, caption string, summary string")
-    return d.select("id", E.response({c: F.col(c) for c in d.columns[1:]}).alias("response"))
+    d = spark.createDataFrame(_REPLIES, "id int, reply string").withColumn("j", E.reply_json(F.col("reply"))).withColumn("d", E.description(F.col("j")))
+    told = lambda c: F.when(F.col("j").startswith("{"), c)
+    return d.select("id", told(F.col("d.short_caption")).alias("short_caption"), told(F.col("d.confidence")).alias("confidence"), told(F.array_join("d.key_visual_elements", ",")).alias("elements"))
 
 
 @query("page_summaries", """
@@ -96,8 +87,8 @@ def enrichment_apply(spark, sf_dir):
     from quillmill.operators import enrich
 
     assets = spark.createDataFrame([
-        (1, "chart", 0.9, "high", "EURUSD", None, None, None, [], []), (2, "figure", 0.9, "high", "", None, None, None, [], []), (3, "chart", 0.9, "high", "", "BTCUSD", None, None, ["BTCUSD"], ["H1"]), (4, "figure", 0.2, "low", "", None, None, None, None, None),
-    ], "id int, asset_type string, page_confidence double, density string, ocr string, primary_symbol string, instrument_name string, venue string, symbols array<string>, timeframes array<string>")
+        (1, "chart", 0.9, ("high",), "EURUSD", None, None, None, [], []), (2, "figure", 0.9, ("high",), "", None, None, None, [], []), (3, "chart", 0.9, ("high",), "", "BTCUSD", None, None, ["BTCUSD"], ["H1"]), (4, "figure", 0.2, ("low",), "", None, None, None, None, None),
+    ], "id int, asset_type string, page_type_confidence double, labels struct<text_density:string>, ocr_text string, primary_symbol string, instrument_name string, venue string, symbols array<string>, timeframes array<string>")
     results = spark.createDataFrame([
         (1, "ok", '{"short_caption": "EURUSD chart", "visible_text": "Euro / US-Dollar - 5 - FXCM", "confidence": "high"}', "p"), (2, "ok", '{"short_caption": "a picture", "limitations": ["text is illegible"], "confidence": "odd"}', "p"), (3, "error", None, "p"),
     ], "id int, status string, reply string, prompt string")

@@ -10,7 +10,7 @@ from quillmill import shipped
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
-_MODULES = ("q_corpus", "q_records", "q_layout", "q_export")
+_MODULES = ("q_corpus", "q_records", "q_layout", "q_export", "q_annotations")
 
 
 def query(name: str, sql: str | None = None) -> Callable:

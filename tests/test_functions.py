@@ -47,7 +47,7 @@ def test_preserve(spark):
 
 
 def test_box_merge_needs_second_pass():
-    assert layout._merged([(0, 0, 10, 10), (30, 0, 40, 10), (5, 0, 35, 10)], 1) == [(0, 0, 40, 10)]
+    assert layout._merged([(0, 0, 10, 10), (30, 0, 40, 10), (5, 0, 35, 10)], 1, layout._NO_PAGE) == [(0, 0, 40, 10)]
 
 
 def test_parsers():

@@ -53,4 +53,4 @@ def test_keyword_labels_of_all_documents(spark):
     for i, t in [*map(tuple, docs.collect()), *extra]:
         low = unicodedata.normalize("NFKD", t or "").encode("ascii", "ignore").decode().lower()
         want.append((i, ",".join(sorted(k for k, w in _COMMON.items() if any(x in w for x in re.split("[^a-z0-9]", low))))))
-    assert sorted(tuple(r) for r in registry.queries()["keyword_labels_all"](spark, at).collect()) == sorted(want)
+    assert sorted(tuple(r) for r in registry.queries()["keyword_labels"](spark, at).collect()) == sorted(want)
