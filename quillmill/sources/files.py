@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillmill.functions import text as T
 from quillmill.operators.records import _lines
 
 SUFFIXES = {".txt": "text", ".md": "text", ".markdown": "text", ".yaml": "text", ".yml": "text", ".json": "json", ".jsonl": "jsonl", ".csv": "csv"}
@@ -23,7 +24,8 @@ DOCUMENT = "source_type string, source_path string, format string, title string,
 
 
 def clean(text: str) -> str:
-    text = re.sub(r"[ \t]+", " ", text.replace("\x00", " ").replace("\r\n", "\n").replace("\r", "\n"))
+    """Wrongly decoded text repaired, white space tidied, as :func:`quillmill.functions.text.normalize_whitespace` has it."""
+    text = re.sub(r"[ \t]+", " ", T.repair_text(text).replace("\x00", " ").replace("\r\n", "\n").replace("\r", "\n"))
     return re.sub(r"\n{3,}", "\n\n", text).strip()
 
 
@@ -62,7 +64,7 @@ def parse(path: str, data: bytes) -> list[tuple]:
 
 
 def read_documents(spark: SparkSession, root: str, source_type: str) -> DataFrame:
-    """All documents under a folder, paths relative to it."""
+    """All documents under a folder, paths relative to it, tagged by the parts of their paths."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "content")
 
     def run(batches):
@@ -75,7 +77,7 @@ def read_documents(spark: SparkSession, root: str, source_type: str) -> DataFram
 
     got = files.mapInPandas(run, DOCUMENT)
     key = F.when(F.col("format") == "text", F.concat_ws("::", "source_type", "source_path")).otherwise(F.concat_ws("::", F.col("format"), F.col("source_path"), F.col("record_index").cast("string")))
-    return got.where("error is not null or text <> ''").withColumn("id", F.substring(F.sha1(key), 1, 16))
+    return got.where("error is not null or text <> ''").withColumn("id", F.substring(F.sha1(key), 1, 16)).withColumn("tags", T.path_tags(F.col("source_path")))
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
