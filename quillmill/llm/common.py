@@ -16,6 +16,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -122,6 +123,17 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
             yield b.slice(i, rows)
 
 
+def sized(batches: Iterator[pa.RecordBatch], at: int, size: int, rows: int = 2048) -> Iterator[pa.RecordBatch]:
+    """Slices that hold at most ``rows`` rows and ``size`` bytes in the texts of column ``at``; a longer text is a slice alone."""
+    for b in batches:
+        ends = np.r_[0, np.cumsum(pc.fill_null(pc.binary_length(b.column(at)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)]
+        a = 0
+        while a < b.num_rows:
+            z = max(a + 1, min(a + rows, int(np.searchsorted(ends, ends[a] + size, "right")) - 1))
+            yield b.slice(a, z - a)
+            a = z
+
+
 def per_text(docs: DataFrame, keep: list[Column], make: Callable[[], Callable[[str], tuple]], fields: list[tuple[str, pa.DataType]], schema: str, text: str = "text", null: str | None = "") -> DataFrame:
     """One result row per document: ``keep`` columns, then what the function built by ``make()`` says of the text.
 

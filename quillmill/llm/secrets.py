@@ -4,7 +4,8 @@ Tokens are the parts of a text between white space, tagged secret-begin, secret-
 scores come from its shape (lengths, character classes, entropy, marks, key words), the shapes of its two
 neighbours, and features of the file; transitions link tags. Decoding is Viterbi: where a token's outside score
 leads by more than any neighbours' transitions can make up for, the best path passes through outside, so the chain is
-cut there and only the stretches between are walked. Scores are worked out once for each distinct token of a batch.
+cut there and only the stretches between are walked. Scores are worked out once for each distinct token met, and held in a
+table bounded by ``MAX_KNOWN``; texts are scanned some ``SLICE_BYTES`` at a time, and a worker keeps nothing of a scan.
 
 The field learns from the patterns' matches in a bounded sample: whole texts of the ``MAX_DOCS`` documents of lowest hash, as
 many as fit in ``MAX_CHARS``. Windows about every match are positives; of tokens outside, per text ``ODD`` odd-looking ones and
@@ -36,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillmill.llm.common import documents, in_one_task, lean, slices
+from quillmill.llm.common import documents, in_one_task, lean, sized
 
 # The patterns by kind, in order, and the least length of their match (assign: of group 2).
 KINDS = ("assign", "access", "hex")
@@ -50,9 +51,12 @@ _LONG_HEX = re.compile(r"[0-9a-f]{24,}")  # maximal runs, so the same matches as
 #: The bound of the sample that the field is trained on; of its windows about tokens outside secrets.
 MAX_DOCS, MAX_CHARS, ODD, PER_MATCH = 6000, 20_000_000, 6, 4
 SIZE = 1 << 14
+#: The bounds of a scan: tokens whose scores are held, bytes of text (or one text) worked on at once.
+MAX_KNOWN, SLICE_BYTES = 200_000, 2 << 20
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 _KEY = re.compile(r"passw|secret|token|api_?key|credential|auth|bearer|private|key", re.IGNORECASE)
 _PLAIN = re.compile(r"[^\W\d_]{1,30}[.,;:!?]?")
+_ZEROS, _SAME = re.compile("0+"), re.compile(r"(.)\1+")
 OUT, BEGIN, INSIDE = range(3)
 
 Span = tuple[int, int, str]
@@ -70,6 +74,18 @@ def _bucket(n: float, *cuts: float) -> int:
     return sum(n >= c for c in cuts)
 
 
+class _Classes(dict):
+    """For ``str.translate``: lower case a, upper case A, digits 0, all else ?."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        return "a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else "?"
+
+
+_CLASSES = _Classes()
+_CLASSES.update({code: _CLASSES[code] for code in range(0x530)})
+
+
 def usual(token: str, key: bool) -> str:
     """Ordinary words, which are most tokens, stand for their class: length, capital, mark at the end."""
     if not key and _PLAIN.fullmatch(token):
@@ -82,14 +98,13 @@ def shape(token: str) -> tuple[str, ...]:
     if token[0] == "\0":
         return "bias", "plain", f"plain{token[1:]}"
     core = token.strip("\"'`,;()[]{}<>")
-    size, kinds = len(core), Counter("a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else "l" if c.isalpha() else c if c in "=:+/_.-" else "?" for c in core)
-    turns = sum((a.isdigit() != b.isdigit()) for a, b in zip(core, core[1:], strict=False))
-    short = re.sub(r"(.)\1+", r"\1", "".join("a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else "?" for c in core[:40]))
-    counts = Counter(core)
-    entropy = -sum(v / size * math.log2(v / size) for v in counts.values()) if size else 0.0
+    size, classes = len(core), core.translate(_CLASSES)
+    turns = 2 * len(_ZEROS.findall(classes)) - (classes[:1] == "0") - (classes[-1:] == "0")
+    short = _SAME.sub(r"\1", classes[:40])
+    entropy = -sum(v / size * math.log2(v / size) for v in Counter(core).values()) if size else 0.0
     out = [
-        "bias", f"size{_bucket(size, 1, 3, 6, 10, 16, 20, 24, 32, 48)}", f"digits{_bucket(kinds['0'] / max(1, size), 0.01, 0.2, 0.4, 0.7, 1)}",
-        f"turns{_bucket(turns, 1, 3, 6, 10)}", f"entropy{_bucket(entropy, 1, 2, 3, 3.5, 4)}", f"short{short[:6]}", f"upper{kinds['A'] > 1}{kinds['a'] > 0}",
+        "bias", f"size{_bucket(size, 1, 3, 6, 10, 16, 20, 24, 32, 48)}", f"digits{_bucket(classes.count('0') / max(1, size), 0.01, 0.2, 0.4, 0.7, 1)}",
+        f"turns{_bucket(turns, 1, 3, 6, 10)}", f"entropy{_bucket(entropy, 1, 2, 3, 3.5, 4)}", f"short{short[:6]}", f"upper{classes.count('A') > 1}{'a' in classes}",
         f"long{size >= 16}{turns >= 3}", f"first{core[:4] if core[:4].isupper() and size >= 16 else ''}", f"hex{size >= 12 and all(c in '0123456789abcdef' for c in core)}",
     ]
     out += [f"has{c}" for c in "=:\"'" if c in token]
@@ -101,15 +116,18 @@ def shape(token: str) -> tuple[str, ...]:
     return tuple(out)
 
 
-@lru_cache(100_000)
+@lru_cache(8192)
+def _row(name: str) -> int:
+    return zlib.crc32(name.encode()) % SIZE
+
+
 def _places(token: str, hidden: bool = False) -> tuple[tuple[int, ...], tuple[int, ...], tuple[int, ...]]:
     """Weight rows of a token's features as itself, as the token before, as the token after; ``hidden``: without the patterns' marks."""
     s = shape(token)
     if hidden:
         s = tuple(f for f in s if not f.startswith(("key", "first")))
     few = [f for f in s if f.startswith(("plain", "size", "digits", "has", "key", "long", "short"))] + ["bias"]
-    row = lambda name: zlib.crc32(name.encode()) % SIZE
-    return tuple(row(f"0{f}") for f in s), tuple(row(f"-{f}") for f in few), tuple(row(f"+{f}") for f in few)
+    return tuple([_row(f"0{f}") for f in s]), tuple([_row(f"-{f}") for f in few]), tuple([_row(f"+{f}") for f in few])
 
 
 def file_features(tokens: list[str] | int, n_keys: int) -> tuple[int, ...]:
@@ -209,6 +227,7 @@ Sample = tuple[list[tuple[int, ...]], list[int]]
 def training_samples(texts: list[str], around: int = 5, odd: int = ODD, per_match: int = PER_MATCH) -> list[Sample]:
     """Windows about every match, as it stands and with the patterns' marks hidden, and about tokens outside, chosen by hash."""
     out, plain = [], []
+    places = lru_cache(100_000)(_places)  # for this call alone: the worker lives on
     for text in texts:
         spans = base_spans(text)
         parts = [(m.start(), m.end(), m[0]) for m in _TOKEN.finditer(text)]
@@ -231,7 +250,7 @@ def training_samples(texts: list[str], around: int = 5, odd: int = ODD, per_matc
         def window(i: int, hidden: bool = False, anew: bool = False) -> Sample:
             lo, hi = max(0, i - around), min(len(words), i + around + 1)  # noqa: B023
             shown = [redrawn(w, lot(j)) if anew and tags[j] != OUT else w for j, w in enumerate(words)] if anew else words  # noqa: B023
-            own = lambda j: _places(shown[j], hidden and tags[j] != OUT)  # noqa: B023, E731
+            own = lambda j: places(shown[j], hidden and tags[j] != OUT)  # noqa: B023, E731
             feats = [(*own(j)[0], *(own(j - 1)[1] if j else ()), *(own(j + 1)[2] if j + 1 < len(words) else ()), *whole) for j in range(lo, hi)]  # noqa: B023
             return feats, tags[lo:hi]  # noqa: B023
 
@@ -268,26 +287,29 @@ class Scanner:
     def __init__(self, field: Field | None) -> None:
         self.field = field
         self.known: dict[str, int] = {}
-        self.rows: list[list[float]] = []
-        self.keys: list[bool] = []
+        self.n, self.rows, self.keys = 0, np.empty((1024, 9)), np.empty(1024, bool)
 
     def _scores(self, distinct: list[str]) -> np.ndarray:
         """For each token its index in the table of scores (self, as before, as after; 3 tags each)."""
-        if len(self.known) + len(distinct) > 300_000:
-            self.known, self.rows, self.keys = {}, [], []
-        new = [t for t in distinct if t not in self.known]
+        if len(self.known) + len(distinct) > MAX_KNOWN:
+            self.known, self.n = {}, 0
+        known, w = self.known, self.field.weights
+        new = [t for t in distinct if t not in known]
         if new:
             keys = pc.match_substring_regex(pa.array(new), f"(?i){_KEY.pattern}").to_pylist()
-            w = self.field.weights
             for t, key in zip(new, keys, strict=True):
                 like = usual(t, key)
-                i = self.known.get(like)
+                i = known.get(like)
                 if i is None:
-                    i = self.known[like] = len(self.rows)
-                    self.rows.append([x for rows in _places(like) for x in w[list(rows)].sum(0)])
-                    self.keys.append(key)
-                self.known[t] = i
-        return np.array([self.known[t] for t in distinct], np.int64)
+                    i = known[like] = self.n
+                    if i == len(self.keys):
+                        self.rows, self.keys = np.concatenate([self.rows, np.empty_like(self.rows)]), np.concatenate([self.keys, np.empty_like(self.keys)])
+                    for k, rows in enumerate(_places(like)):
+                        self.rows[i, 3 * k : 3 * k + 3] = w[list(rows)].sum(0)
+                    self.keys[i] = key
+                    self.n += 1
+                known[t] = i
+        return np.array([known[t] for t in distinct], np.int64)
 
     def tagged(self, texts: pa.Array) -> dict[int, list[tuple[int, int]]]:
         """Text number -> (token number, tag) of its tokens not outside."""
@@ -300,7 +322,7 @@ class Scanner:
         if not n:
             return {}
         at = self._scores(words.dictionary.to_numpy(zero_copy_only=False).tolist())
-        rows, keys, of = np.array(self.rows)[at], np.array(self.keys)[at], words.indices.to_numpy()
+        rows, keys, of = self.rows[at], self.keys[at], words.indices.to_numpy()
         lengths = np.diff(ends)
         doc = np.repeat(np.arange(len(lengths)), lengths)
         first, last = np.zeros(n, bool), np.zeros(n, bool)
@@ -357,7 +379,7 @@ def scan(docs: DataFrame, field: Field | None, *keep: str) -> DataFrame:
 
     def run(batches):
         find = Scanner(held.value)
-        for b in slices(batches, 2048):
+        for b in sized(batches, n, SLICE_BYTES):
             found = [[{"start": a, "end": z, "kind": k} for a, z, k in s] for s in find(b.column(n))]
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(n)), pa.array(found, kind)], names=[*keep, "spans"])
 
@@ -387,7 +409,7 @@ def redact(docs: DataFrame, field: Field | None, mark: str = "<secret>") -> Data
 
     def run(batches):
         find = Scanner(held.value)
-        for b in slices(batches, 2048):
+        for b in sized(batches, at, SLICE_BYTES):
             texts = b.column(at)
             out = texts.to_pylist()
             for i, spans in enumerate(find(texts)):

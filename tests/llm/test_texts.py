@@ -200,3 +200,39 @@ def test_redact(spark):
     d = spark.createDataFrame([(1, "a password=abcdef1 b"), (2, None), (3, "token: x")], DOC)
     got = {r["doc_id"]: r["text"] for r in secrets.redact(d, None).collect()}
     assert got == {1: "a <secret> b", 2: None, 3: "token: x"}
+
+
+def test_scan_is_bounded_and_leaves_nothing(monkeypatch):
+    import gc
+    import tracemalloc
+
+    monkeypatch.setattr(secrets, "MAX_KNOWN", 5000, raising=False)
+    rng = random.Random(7)
+    texts = [" ".join(f"{rng.getrandbits(48):x}-{rng.randrange(10**6)}" for _ in range(1000)) for _ in range(40)]
+    field = secrets.Field(np.random.default_rng(7).normal(0, 0.1, (secrets.SIZE, 3)), np.zeros((3, 3)))
+    gc.collect()
+    tracemalloc.start()
+    try:
+        scan = secrets.Scanner(field)
+        for i in range(0, len(texts), 2):
+            assert len(scan(pa.array(texts[i : i + 2]))) == 2
+        most = tracemalloc.get_traced_memory()[1]
+        del scan
+        gc.collect()
+        left = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert left < 4e6, left
+    assert most < 16e6, most
+
+
+def test_sized_slices():
+    from quillmill.llm.common import sized
+
+    texts = ["x" * 10, None, "é" * 20, "", "y" * 500, "z", "z" * 99, None, "w" * 100]
+    b = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["i", "t"]).slice(1)
+    for size, rows in ((100, 50), (1, 50), (10**6, 2), (50, 3)):
+        got = [x.column(1).to_pylist() for x in sized([b, b.slice(0, 0)], 1, size, rows)]
+        assert sum(got, []) == texts[1:]
+        assert all(len(g) <= rows and (len(g) == 1 or sum(len((t or "").encode()) for t in g) <= size) for g in got)
+        assert all(len(g) == rows or sum(len((t or "").encode()) for t in [*g, h[0]]) > size for g, h in zip(got, got[1:], strict=False))
