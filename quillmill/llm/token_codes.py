@@ -150,43 +150,56 @@ class Encoder:
             for e in self.tok.encode_batch_fast(some[i : i + 1000], add_special_tokens=False):
                 yield np.array(e.ids, self.kind).tobytes()
 
+    def _words(self, words: list[str], into: dict[str, bytes]) -> None:
+        """Put the ids of runs of letters ``into`` a cache."""
+        for i in range(0, len(words), 2000):
+            some = words[i : i + 2000]
+            ids = np.array(self.tok.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.uint32)
+            cut = (np.flatnonzero(self.ends[ids]) + 1) * self.kind.itemsize
+            if len(cut) == len(some):
+                data, cut = ids.astype(self.kind).tobytes(), cut.tolist()
+                into.update(zip(some, [data[a:z] for a, z in zip([0, *cut], cut, strict=False)], strict=True))
+            else:  # a word's normal form holds more than letters
+                into.update(zip(some, self._wholes(some), strict=True))
+
     def _learn(self, parts: list[str]) -> None:
         if len(self.parts) + len(parts) > MAX_PARTS:
             self.parts.clear()
-        plain, new, whole = {}, set(), []
+        known, runs = self.parts, self.runs
+        words, ended, mixed, whole = [], [], [], []
         for p in parts:
-            if p.isalpha() and p.isascii():
-                plain[p] = (p,)
-                new.add(p)
-            elif p[:-1].isalpha() and p.isascii():
-                plain[p] = (p[:-1], p[-1])
-                new.update(plain[p])
-            elif "'" in p or "<|" in p or not p.isascii() and (max(p) >= _KNOWN or _GROWS in p or not is_normalized("NFC", p)):
+            if p.isascii():
+                if p.isalpha():
+                    words.append(p)
+                elif p[:-1].isalpha():
+                    ended.append(p)
+                elif "'" in p or "<|" in p:
+                    whole.append(p)
+                else:
+                    mixed.append(p)
+            elif "'" in p or "<|" in p or max(p) >= _KNOWN or _GROWS in p or not is_normalized("NFC", p):
                 whole.append(p)
+            elif p.isalpha():
+                words.append(p)
             else:
-                plain[p] = runs = (p,) if p.isalpha() else self.split(p)
-                new.update(runs)
-        self.parts.update(zip(whole, self._wholes(whole), strict=True))
-        new.difference_update(self.runs)
-        if len(self.runs) + len(new) > MAX_RUNS:
-            self.runs.clear()
-            new = {r for runs in plain.values() for r in runs}
-        words = [r for r in new if r.isalpha()]
+                mixed.append(p)
+        known.update(zip(whole, self._wholes(whole), strict=True))
+        met = [w for w in words if w in runs]
+        known.update(zip(met, [*map(runs.pop, met)], strict=True))
+        self._words([w for w in words if w not in known] if met else words, known)
+        # the others are runs of letters and of others; a run that is no part itself is held apart
+        heads, cut = [p[:-1] for p in ended], [*map(self.split, mixed)]
+        every = {p[-1] for p in ended}.union(heads, *cut)
+        new = [r for r in every if r not in known and r not in runs]
+        if len(runs) + len(new) > MAX_RUNS:
+            runs.clear()
+            new = [r for r in every if r not in known]
+        self._words([r for r in new if r.isalpha()], runs)
         left = [r for r in new if not r.isalpha()]
-        for i in range(0, len(words), 2000):
-            some = words[i : i + 2000]
-            ids = np.array(self.tok.encode(" ".join(some), add_special_tokens=False).ids, np.uint32)
-            cut = (np.flatnonzero(self.ends[ids]) + 1) * self.kind.itemsize
-            if len(cut) == len(some):
-                data, a = ids.astype(self.kind).tobytes(), 0
-                for r, z in zip(some, cut.tolist(), strict=True):
-                    self.runs[r] = data[a:z]
-                    a = z
-            else:  # a word's normal form holds more than letters
-                left += some
-        self.runs.update(zip(left, self._wholes(left), strict=True))
-        for p, runs in plain.items():
-            self.parts[p] = self.runs[runs[0]] if len(runs) == 1 else b"".join([self.runs[r] for r in runs])
+        runs.update(zip(left, self._wholes(left), strict=True))
+        ids = {r: known[r] if r in known else runs[r] for r in every}
+        known.update({p: ids[h] + ids[p[-1]] for p, h in zip(ended, heads, strict=True)})
+        known.update({p: b"".join([ids[r] for r in own]) for p, own in zip(mixed, cut, strict=True)})
 
     def __call__(self, texts: pa.Array) -> pa.Array:
         """Each text's ids, as bytes of ``kind`` (null: empty)."""
@@ -197,13 +210,12 @@ class Encoder:
         words = cut.flatten().dictionary_encode()
         distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
         found = [*map(self.parts.get, distinct)]
-        if None in found:
-            self._learn([p for p, ids in zip(distinct, found, strict=True) if ids is None])
-            found = [*map(self.parts.get, distinct)]
-        if None in found:  # the cache was emptied to hold the new
-            self.parts.clear()
-            self._learn(distinct)
-            found = [*map(self.parts.get, distinct)]
+        new = [i for i, ids in enumerate(found) if ids is None]
+        if new:
+            some = [distinct[i] for i in new]
+            self._learn(some)
+            for i, p in zip(new, some, strict=True):
+                found[i] = self.parts[p]
         # the parts' ids side by side, then cut anew by text
         ids = pa.array(found, pa.large_binary()).take(words.indices)
         _, ends, data = ids.buffers()

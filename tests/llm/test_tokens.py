@@ -95,3 +95,15 @@ def test_long_words_as_short_ones():
     for _ in range(200):
         w = bytes(rng.choice(list(b"aetion lrs"), 40))
         assert bpe.bpe(w, ranks) == bpe._bpe_long(w, ranks)
+
+
+def test_encoder_holds_each_string_once(monkeypatch):
+    e, rng = token_codes.Encoder(WORDS), random.Random(9)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(1, 9))) for _ in range(500)]
+    _same(e, [" ".join(f"{w}," for w in words), " ".join(words), " ".join(f"({w}) {w}2{w}" for w in words)])
+    assert set(words) <= e.parts.keys()
+    assert not e.parts.keys() & e.runs.keys()
+    monkeypatch.setattr(token_codes, "MAX_PARTS", 100)
+    monkeypatch.setattr(token_codes, "MAX_RUNS", 50)
+    for i in range(0, 500, 50):
+        _same(e, [" ".join([*words[i : i + 50], *(f"{w}-{w}é" for w in words[:50])])])
