@@ -17,6 +17,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,12 +66,28 @@ def _drop_at_exit() -> None:
             print(f"scratch tables were left behind: {type(e).__name__}")
 
 
+def trim_driver(spark: SparkSession) -> bool:
+    """Have the driver's JVM give freed native memory back: planning and compiling take and free it in many threads, and the C library keeps
+    it for each of them. True if it did; other JVMs (before 17.0.9, or without glibc) have no such command."""
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    try:
+        args = gateway.new_array(jvm.java.lang.Object, 4)
+        args[0], args[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+        # by reflection: the server's own class is not public, and py4j looks for methods there
+        invoke = next(m for m in jvm.java.lang.Class.forName("javax.management.MBeanServer").getMethods() if m.getName() == "invoke")
+        invoke.invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), args)
+    except Py4JError:
+        return False
+    return True
+
+
 def materialize(df: DataFrame, tag: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it again: cuts the lineage, survives executors."""
     spark = df.sparkSession
     path = scratch_path(spark, tag)
     w = df.write.option("compression", "zstd")
     (w.partitionBy(partition_by) if partition_by else w).parquet(path)
+    trim_driver(spark)
     back = spark.read.schema(df.schema).parquet(path)
     return back.select(*df.columns)
 

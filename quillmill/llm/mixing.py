@@ -10,7 +10,8 @@
 
 Rankings and stream offsets are two-level prefix sums: within chunks of about a thousand rows, then over the chunks'
 totals, so that of a source that holds a third of all rows only a thousandth as many totals meet in one task. Texts are
-read once, for their sizes, which are written as a table; only ids and sizes are shuffled.
+read once, for their sizes, which are written as a table; only ids and sizes are shuffled. The turns of the blocks and the
+streams are tables too: as one query they are planned anew after each of some thirty stages, out of the driver's memory.
 
 Defined results: null source is a source of its own, last in order; null or wordless text has size 0 and takes
 0; long texts are counted whole; repeated rows are documents of their own; an empty table gives an empty result; other
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import math
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,8 +74,9 @@ def source_plan(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), volume:
         low = high
     last = max((i for i, x in enumerate(out) if x[7]), default=-1)
     out = [(*x[:9], 2.0) if i == last else x for i, x in enumerate(out)]
-    schema = "src int, source string, n long, source_size long, target double, words long, blocks long, quota long, low double, high double"
-    return docs.sparkSession.createDataFrame(out, schema)
+    schema = {"src": pa.int32(), "source": pa.string(), "n": pa.int64(), "source_size": pa.int64(), "target": pa.float64(), "words": pa.int64(), "blocks": pa.int64(), "quota": pa.int64(), "low": pa.float64(), "high": pa.float64()}
+    # from Arrow it is a relation that the driver has at hand; from rows each of its broadcasts would be a job over an RDD
+    return docs.sparkSession.createDataFrame(pa.table({c: pa.array([x[i] for x in out], t) for i, (c, t) in enumerate(schema.items())}))
 
 
 def schedule(plan: DataFrame) -> DataFrame:
@@ -101,8 +104,8 @@ def schedule(plan: DataFrame) -> DataFrame:
 
 def _streams(docs: DataFrame, plan: DataFrame, seed: str) -> DataFrame:
     """Each document's start in its source's shuffled stream of words."""
-    p = F.broadcast(plan.drop("low", "high", "quota", "n").join(plan.select(F.col("src").alias("s2"), "n"), F.col("src") == F.col("s2")).drop("s2"))
-    d = docs.join(p, docs["source"].eqNullSafe(p["source"])).select("doc_id", "size", "src", "source_size", "target", "words", "blocks", "n")
+    p = F.broadcast(plan.select("src", "source", "source_size", "target", "n"))
+    d = docs.join(p, docs["source"].eqNullSafe(p["source"])).select("doc_id", "size", "src", "source_size", "target", "n")
     d = d.withColumn("h", unsigned_hash(F.col("doc_id"), F.col("size"), seed=seed))
     d = d.withColumn("bucket", F.floor(F.col("h") * F.ceil(F.col("n") / F.lit(_CHUNK))).cast("int"))
     sums = d.groupBy("src", "bucket").agg(F.sum("size").alias("s"))
@@ -130,8 +133,8 @@ def mix_sizes(sized: DataFrame, weights: tuple[float, ...] = (5, 2, 1), volume:
     length = F.least(F.lit(block), F.col("of") - F.col("block") * block)
     turns = turns.withColumn("upto", F.least(length, F.col("words") - reached))
     # a block's turns: how often each of its words is taken; full turns and, at most once, a part from its start
-    turns = turns.groupBy("src", "block").agg(F.collect_list("upto").alias("turns"))
-    d = _streams(sized, plan, seed)
+    turns = materialize(turns.groupBy("src", "block").agg(F.collect_list("upto").alias("turns")), "turns")
+    d = materialize(_streams(sized, plan, seed), "streams")
     some = d.where("size > 0")
     first, last = F.expr(f"start div {block}"), F.expr(f"(start + size - 1) div {block}")
     parts = some.withColumn("block", F.explode(F.sequence(first, last))).join(turns, ["src", "block"], "left")

@@ -3,7 +3,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from quillmill.llm import mixing
+from quillmill.llm import common, mixing
 
 SCHEMA = "doc_id long, text string, lang string, source string"
 
@@ -52,3 +52,19 @@ def test_schedule_is_spread(spark):
 
 def test_empty(spark):
     assert mixing.mix(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_queries_stay_small(spark):
+    """The driver plans a query anew after each of its stages, and holds each broadcast table."""
+    d = spark.createDataFrame(rows(), SCHEMA)
+    for got in (mixing.mix(d, block=64), mixing.mixed(d, block=64)):
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("BroadcastExchange") <= 2 and plan.count("Window") <= 1, plan
+
+
+def test_driver_is_trimmed(spark, monkeypatch):
+    assert common.trim_driver(spark)  # the JVM here has the command
+    seen = []
+    monkeypatch.setattr(common, "trim_driver", seen.append)
+    assert common.materialize(spark.range(3), "trimmed").count() == 3
+    assert seen == [spark]
