@@ -137,7 +137,7 @@ def mix_sizes(sized: DataFrame, weights: tuple[float, ...] = (5, 2, 1), volume:
     d = materialize(_streams(sized, plan, seed), "streams")
     some = d.where("size > 0")
     first, last = F.expr(f"start div {block}"), F.expr(f"(start + size - 1) div {block}")
-    parts = some.withColumn("block", F.explode(F.sequence(first, last))).join(turns, ["src", "block"], "left")
+    parts = some.withColumn("block", F.explode(F.sequence(first, last))).join(turns.hint("merge"), ["src", "block"], "left")  # its file is far smaller than its rows, which must not be broadcast
     lo = F.greatest(F.lit(0).cast("long"), F.col("start") - F.col("block") * block)
     hi = F.least(F.lit(block).cast("long"), F.col("start") + F.col("size") - F.col("block") * block)
     taken = F.aggregate(F.coalesce("turns", F.array().cast("array<long>")), F.lit(0).cast("long"), lambda a, t: a + F.greatest(F.lit(0).cast("long"), F.least(hi, t) - lo))

@@ -57,9 +57,9 @@ def test_empty(spark):
 def test_queries_stay_small(spark):
     """The driver plans a query anew after each of its stages, and holds each broadcast table."""
     d = spark.createDataFrame(rows(), SCHEMA)
-    for got in (mixing.mix(d, block=64), mixing.mixed(d, block=64)):
+    for got, most in ((mixing.mix(d, block=64), 0), (mixing.mixed(d, block=64), 2)):
         plan = got._jdf.queryExecution().executedPlan().toString()
-        assert plan.count("BroadcastExchange") <= 2 and plan.count("Window") <= 1, plan
+        assert plan.count("BroadcastExchange") <= most and plan.count("Window") <= 1, plan
 
 
 def test_driver_is_trimmed(spark, monkeypatch):
