@@ -4,6 +4,7 @@ handed those rows only that show a marker."""
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from collections.abc import Callable
 
@@ -198,14 +199,19 @@ def label(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(fold(c)), "[^a-z0-9]+", " "))
 
 
+_C1 = re.compile("[\x80-\x9f]")
+
+
 def _marks(s: str) -> int:
-    return sum(s.count(m) for m in vocab.MOJIBAKE) + sum("\x80" <= ch <= "\x9f" for ch in s)
+    return 0 if s.isascii() else sum(s.count(m) for m in vocab.MOJIBAKE) + len(_C1.findall(s))
 
 
 def repair_text(s: str) -> str:
     """Text that was decoded by a one-byte code page, decoded anew while that leaves fewer marks, at most twice."""
     for _ in range(2):
         best, low = s, _marks(s)
+        if not low:
+            break
         for page in ("latin-1", "cp1252"):
             try:
                 again = s.encode(page).decode("utf-8")
