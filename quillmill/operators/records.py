@@ -74,7 +74,7 @@ def normalize_columns(fields: dict[str, Column]) -> Column:
     for field, names in (*vocab.RECORD_FIELDS.items(), *((p, (p,)) for p in vocab.PASSED_FIELDS)):
         have = [F.when(low[n] != "", F.to_json(F.struct(low[n].alias("v")))) for n in names if n in low]
         if have:
-            pairs += [F.lit(field), F.regexp_extract(F.coalesce(*have), r'^\{"v":(.*)\}$', 1)]
+            pairs += [F.lit(field), F.regexp_extract(F.coalesce(*have), r'(?s)^\{"v":(.*)\}$', 1)]
     return F.map_filter(F.create_map(*pairs), lambda k, v: v.isNotNull())
 
 
@@ -109,29 +109,50 @@ def _indented(objects: pd.Series) -> pd.Series:
     return objects.map(lambda o: json.dumps(json.loads(o), ensure_ascii=False, indent=2), na_action="ignore")
 
 
-def as_json(record: Column) -> Column:
-    """A map of JSON values as one JSON text, two blanks a level. Only records with lists or objects inside leave the JVM."""
-    pair = lambda indent: F.transform(F.map_entries(record), lambda e: F.concat(F.lit(f'{indent}"'), e["key"], F.lit('": '), e["value"]))
-    flat = F.concat(F.lit("{\n"), F.array_join(pair("  "), ",\n"), F.lit("\n}"))
+def _pairs(record: Column, indent: str) -> Column:
+    return F.transform(F.map_entries(record), lambda e: F.concat(F.lit(f'{indent}"'), e["key"], F.lit('": '), e["value"]))
+
+
+def _nested(record: Column) -> Column:
+    """A map of JSON values on one line, if any is a list or object that holds something."""
     deep = F.exists(F.map_values(record), lambda v: v.rlike(r"^[\[{].*[^\[{]"))
-    compact = F.concat(F.lit("{"), F.array_join(pair(""), ","), F.lit("}"))
-    return F.when(F.size(record) == 0, "{}").when(deep, _indented(F.when(deep, compact))).otherwise(flat)
+    return F.when(deep, F.concat(F.lit("{"), F.array_join(_pairs(record, ""), ","), F.lit("}")))
+
 
+def _flat(record: Column) -> Column:
+    return F.when(F.size(record) == 0, "{}").otherwise(F.concat(F.lit("{\n"), F.array_join(_pairs(record, "  "), ",\n"), F.lit("\n}")))
 
-def decision_messages(record: Column) -> Column:
+
+def decision_messages(record: Column, nested: bool = True) -> Column:
     """System, user and assistant messages; null without a symbol and a direction or entry, or without anything to reply.
 
     The prompt is the record but for what was known only afterwards; the reply holds action (the direction), entry, stop_loss,
-    take_profit and thesis (else the notes), those that have a value.
+    take_profit and thesis (else the notes), those that have a value. Both are JSON texts, two blanks a level. Records with lists or
+    objects inside leave the JVM for that; ``nested=False`` where none has. The record is bound to a variable and so worked out once
+    (once more for each of the two texts where ``nested``), as Spark finds no common parts in expressions with lambdas.
     """
-    get = lambda n: F.try_element_at(record, F.lit(n))
-    asked = F.map_filter(record, lambda k, v: ~k.isin(*HINDSIGHT))
-    thesis = F.when(truthy(get("thesis")), get("thesis")).otherwise(get("notes"))
-    given = {"action": get("direction"), "entry": get("entry"), "stop_loss": get("stop_loss"), "take_profit": get("take_profit"), "thesis": thesis}
-    reply = F.map_filter(F.create_map(*(x for k, v in given.items() for x in (F.lit(k), v))), lambda k, v: v.isNotNull() & ~v.isin("null", '""'))
-    message = lambda role, c: F.struct(F.lit(role).alias("role"), c.alias("content"))
-    out = F.array(message("system", F.lit(SYSTEM)), message("user", F.concat(F.lit(REVIEW), as_json(asked))), message("assistant", as_json(reply)))
-    return F.when(truthy(get("symbol")) & (truthy(get("direction")) | truthy(get("entry"))) & (F.size(reply) > 0), out)
+
+    def asked(r: Column) -> Column:
+        return F.map_filter(r, lambda k, v: ~k.isin(*HINDSIGHT))
+
+    def reply(r: Column) -> Column:
+        get = lambda n: F.try_element_at(r, F.lit(n))
+        thesis = F.when(truthy(get("thesis")), get("thesis")).otherwise(get("notes"))
+        given = {"action": get("direction"), "entry": get("entry"), "stop_loss": get("stop_loss"), "take_profit": get("take_profit"), "thesis": thesis}
+        return F.map_filter(F.create_map(*(x for k, v in given.items() for x in (F.lit(k), v))), lambda k, v: v.isNotNull() & ~v.isin("null", '""'))
+
+    def messages(r: Column, asked_: Column, reply_: Column) -> Column:
+        has = lambda n: truthy(F.try_element_at(r, F.lit(n)))
+        message = lambda role, c: F.struct(F.lit(role).alias("role"), c.alias("content"))
+        told = lambda x: F.when(F.size(x) > 0, F.array(
+            message("system", F.lit(SYSTEM)), message("user", F.concat(F.lit(REVIEW), F.coalesce(asked_, T.let(asked(r), _flat)))), message("assistant", F.coalesce(reply_, _flat(x)))
+        ))
+        return F.when(has("symbol") & (has("direction") | has("entry")), T.let(reply(r), told))
+
+    if not nested:
+        return T.let(record, lambda r: messages(r, F.lit(None).cast("string"), F.lit(None).cast("string")))
+    deep = lambda part: _indented(T.let(record, lambda r: T.let(part(r), _nested)))
+    return T.let(F.struct(record.alias("r"), deep(asked).alias("asked"), deep(reply).alias("reply")), lambda x: messages(x["r"], x["asked"], x["reply"]))
 
 
 def trade_candidates(rows: DataFrame, record: Column, least: float = LEAST) -> DataFrame:

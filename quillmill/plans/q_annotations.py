@@ -77,7 +77,7 @@ def decision_examples(spark, sf_dir):
         "ticker": F.concat(F.lit("C"), F.col("o_custkey")), "side": F.create_map(F.lit("F"), F.lit("long"), F.lit("O"), F.lit("short"))[F.col("o_orderstatus")], "entry": F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderkey").cast("string")),
         "comment": F.col("o_orderpriority"), "pnl": F.col("o_totalprice").cast("string"),
     }
-    m = records.decision_messages(records.normalize_columns(fields))
+    m = records.decision_messages(records.normalize_columns(fields), nested=False)
     return o.select(F.col("o_orderkey").alias("id"), m.alias("m")).select("id", F.col("m")[1]["content"].alias("prompt"), F.col("m")[2]["content"].alias("reply"))
 
 
