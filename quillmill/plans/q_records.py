@@ -178,6 +178,6 @@ def source_files(spark, sf_dir):
     root = f"{shared.rstrip('/')}/source-files-{spark.sparkContext.applicationId}"
     rows = document_rows(table(spark, sf_dir, "documents")).select("source_type", "text")
     # a file is read by one task: files of bounded size spread over all
-    rows.write.mode("overwrite").option("header", "true").option("escape", '"').option("maxRecordsPerFile", 20_000).csv(root)
+    rows.write.mode("overwrite").option("header", "true").option("escape", '"').option("maxRecordsPerFile", 5_000).csv(root)
     got = files.read_documents(spark, root, "node")
     return got.groupBy(F.get_json_object("payload_json", "$.source_type").alias("tag")).agg(F.count(F.lit(1)).alias("n"))
